@@ -19,11 +19,23 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(_table(spark, sf_dir, "documents"), shards=40)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import score_toxicity
+
+    return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import score_quality
+
+    return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix_documents
 
     return mix_documents(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_sharding, op8_mixing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op3_sharding, op8_mixing, op10_quality)}
 ORACLES: dict[str, str] = {}
