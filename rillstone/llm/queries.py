@@ -19,12 +19,25 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(_table(spark, sf_dir, "documents"), shards=40)
 
 
+def tokenizer(name: str) -> str:
+    """Where a public tokenizer's file lies; every executor has the package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import score_toxicity
 
     return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack_documents
+
+    return pack_documents(_table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), tokens=2048)
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import score_quality
 
@@ -43,5 +56,5 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op3_sharding, op7_language, op8_mixing, op10_quality)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op3_sharding, op7_language, op8_mixing, op9_packing, op10_quality)}
 ORACLES: dict[str, str] = {}
