@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import keep
+
 #: Atomic units; with u of them a cut misses the ideal by one unit, about total / u, at most.
 UNITS = 1 << 14
 #: Rows ranked together when slots are numbered.
@@ -42,13 +44,14 @@ def _plan(units: DataFrame, shards: int) -> DataFrame:
         return F.when(a["lo"] >= a["hi"], a).otherwise(F.struct(F.when(ok, a["lo"]).otherwise(mid + 1).alias("lo"), F.when(ok, mid).otherwise(a["hi"]).alias("hi")))
 
     row = row.withColumn("cap", F.aggregate(F.sequence(F.lit(1), F.lit(48)), F.struct("lo", "hi"), halve, lambda a: a["hi"]))
-    begin = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("used"), F.array().cast("array<int>").alias("at"))
+    # the capacity rides in the accumulator: named in the lambda it would be searched anew for each unit
+    begin = F.struct(F.col("cap").alias("cap"), F.lit(0).cast("long").alias("used"), F.array().cast("array<int>").alias("at"))
 
     # cut points only: the first unit of each further shard
     def cut(a: Column, x: Column) -> Column:
-        fits = a["used"] + x["bytes"] <= F.col("cap")
-        return F.when(fits, F.struct(a["n"].alias("n"), (a["used"] + x["bytes"]).alias("used"), a["at"].alias("at"))).otherwise(
-            F.struct((a["n"] + 1).alias("n"), x["bytes"].alias("used"), F.concat(a["at"], F.array(x["unit"].cast("int"))).alias("at"))
+        fits = a["used"] + x["bytes"] <= a["cap"]
+        return F.when(fits, F.struct(a["cap"].alias("cap"), (a["used"] + x["bytes"]).alias("used"), a["at"].alias("at"))).otherwise(
+            F.struct(a["cap"].alias("cap"), x["bytes"].alias("used"), F.concat(a["at"], F.array(x["unit"].cast("int"))).alias("at"))
         )
 
     cuts = row.select("u", F.aggregate("u", begin, cut, lambda a: a["at"]).alias("at"))
@@ -73,8 +76,8 @@ def shard_documents(docs: DataFrame, shards: int = 40, overhead: int = 16, id_co
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
         F.shiftrightunsigned(F.xxhash64(text), 64 - UNITS.bit_length() + 1).cast("int").alias("unit"),
     )
-    units = base.groupBy("unit").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
-    plan = units.join(F.broadcast(_plan(units.select("unit", "bytes"), shards)), "unit")  # UNITS rows at most
+    units = keep(base.groupBy("unit").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")), "units")
+    plan = keep(units.join(F.broadcast(_plan(units.select("unit", "bytes"), shards)), "unit"), "shards")  # UNITS rows at most
     # slots: blocks of rows within a unit, so that a unit with a third of all rows is ranked in many tasks
     plan = plan.withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("rows") / SLOT_BLOCK)).cast("long"))
     placed = base.join(F.broadcast(plan.select("unit", "shard", "blocks")), "unit").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
