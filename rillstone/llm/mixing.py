@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import keep
+
 #: Documents that a key range holds on average.
 RANGE_ROWS = 500
 WORD = r"[^\x20\x09-\x0D]+"
@@ -53,6 +55,7 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), limit:
     quality = 1.0 / (1.0 + F.abs(mean - 6.0) / 6.0)
     u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id")), 11) + 0.5) * F.lit(2.0**-53)
     d = d.select("doc_id", "source", "size", (-F.log(u) / quality).alias("key"))
+    d = keep(d, "mix")  # small rows; the texts are read once
     per = d.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
     plan = target_words(per, weights, limit)
     plan = plan.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + 1e-12)).otherwise(0).cast("long"))
