@@ -5,8 +5,8 @@ and the same samples are folded into a parity bitmap: the population count of tw
 how many samples differ, so high similarities are estimated well from a few machine words. Texts with
 equal sets are one node. In a band's bucket each node is compared with the bucket's hub, the node that
 meets the most others over all bands, never with all others; pairs whose sketches allow the threshold
-are confirmed on full sets. Nodes that stay apart from their hub's component get further hubs, until a
-round has nothing left to confirm.
+are confirmed on full sets. Nodes that stay apart from their hub's component get a further hub, and those
+apart after that meet the bucket's other components.
 """
 
 from __future__ import annotations
@@ -21,12 +21,28 @@ from pyspark.sql import functions as F
 from .kernels import U, mix, nested, sets, shingles, slices
 from .shared import components, forget, keep, sweep
 
-BANDS, ROWS, WORDS64 = 24, 6, 8  # samples: BANDS * ROWS; bits of a sketch: 64 * WORDS64
+BANDS, ROWS = 24, 6  # independent samples for the band keys
+SAMPLES, BITS = 512, 1024  # bottom samples, a whole set if it has no more, folded into a sketch of BITS parities
 _MUL = (np.random.default_rng(11).integers(1, 1 << 62, BANDS * ROWS, dtype=np.int64).astype(U) << U(1)) | U(1)
-#: Standard errors that an estimate may lie under the threshold before a pair is left unconfirmed.
+#: Standard errors that a sampled estimate may lie off before a pair is left unconfirmed.
 SIGMAS = 5.0
 
 
+def odd_sketches(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Parities of the hashed bottom samples: sets are sorted by hash, so the first SAMPLES are the smallest."""
+    n_docs = len(at) - 1
+    out = np.zeros((n_docs, BITS // 64), U)
+    count = np.minimum(np.diff(at), SAMPLES)
+    for i in range(0, n_docs, 1024):
+        c = count[i : i + 1024]
+        doc = np.repeat(np.arange(len(c)), c)
+        pick = np.repeat(at[i : i + len(c)] - np.cumsum(c) + c, c) + np.arange(c.sum())
+        bit = (mix(h[pick] + U(77)) >> U(54)).astype(np.int64)
+        parity = (np.bincount(doc * BITS + bit, minlength=len(c) * BITS) & 1).astype(np.uint8)
+        out[i : i + len(c)] = np.packbits(parity).view(U).reshape(len(c), -1)
+    return out
+
+
 def signatures(buf: np.ndarray, offs: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
     """Set sizes, two 64-bit sums that identify the set, band keys and odd sketches of each document."""
     h, at = sets(*shingles(buf, offs, size))
@@ -35,7 +51,7 @@ def signatures(buf: np.ndarray, offs: np.ndarray, size: int) -> tuple[np.ndarray
     live = np.flatnonzero(n)
     begin = at[:-1][live]
     one, two = np.zeros(n_docs, U), np.zeros(n_docs, U)
-    keys, odd = np.zeros((n_docs, BANDS), U), np.zeros((n_docs, WORDS64), U)
+    keys, odd = np.zeros((n_docs, BANDS), U), odd_sketches(h, at)
     if len(live):
         one[live] = np.add.reduceat(mix(h + U(1)), begin)
         two[live] = np.add.reduceat(mix(h ^ U(0xA5A5A5A5A5A5A5A5)), begin)
@@ -48,9 +64,6 @@ def signatures(buf: np.ndarray, offs: np.ndarray, size: int) -> tuple[np.ndarray
             for r in range(ROWS):
                 key = mix(key * U(0xD6E8FEB86659FD93) + values[b * ROWS + r])
             keys[live, b] = key
-        bit = values >> U(64 - 9)  # 512 bits
-        for k in range(BANDS * ROWS):
-            odd[live, (bit[k] >> U(6)).astype(np.int64)] ^= U(1) << (bit[k] & U(63))
     return n, one, two, keys, odd
 
 
@@ -59,18 +72,22 @@ def differing(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
 
 
-def most_differing(threshold: float) -> int:
-    """The largest XOR count that a pair at the threshold shows within SIGMAS standard errors.
+def _may_link(a: str, b: str, percent: int) -> Column:
+    """Whether sizes and sketches of n_a, odd_a and n_b, odd_b allow the threshold.
 
-    d differing samples toggle 2 d bits of m; m (1 - exp(-4 d / m)) / 2 of them are expected to stay set.
+    Two sets at the threshold share at least percent / (100 + percent) of their summed sizes. An XOR never
+    counts more than the samples that are in one set only, so for whole sets the test is never wrong
+    against a link; for sampled ones it leaves SIGMAS standard errors.
     """
-    k, m = BANDS * ROWS, 64 * WORDS64
-    d = k * (1 - threshold) + SIGMAS * np.sqrt(k * threshold * (1 - threshold))
-    expected = m * (1 - np.exp(-4 * d / m)) / 2
-    return int(np.ceil(expected + SIGMAS * np.sqrt(expected) / 2))
+    na, nb = F.col(f"n_{a}"), F.col(f"n_{b}")
+    big = F.greatest(na, nb)
+    common = (na + nb) * F.lit(percent / (100 + percent)) * F.least(F.lit(1.0), F.lit(float(SAMPLES)) / big)
+    alone = F.least(na, F.lit(SAMPLES)) + F.least(nb, F.lit(SAMPLES)) - 2 * common
+    most = F.when(big > SAMPLES, alone + SIGMAS * F.sqrt(F.greatest(alone, F.lit(1.0)))).otherwise(alone + 1e-6)
+    return (F.least(na, nb) * 100 >= big * percent) & (differing(F.col(f"odd_{a}"), F.col(f"odd_{b}")) <= most)
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5, rounds: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5, hub_rounds: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable by links) and kept (id = component_id).
 
     Two texts are linked if 100 * intersection >= percent * union of their shingle sets, confirmed on the
@@ -104,62 +121,60 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5, rounds: i
     meetings = keep(entries.join(shared, "key"), "meetings")
     forget(shared)
     rank = meetings.groupBy("id").agg(F.sum("met").alias("rank"))
-    facts = keep(rank.join(nodes.select("id", "n", "odd"), "id"), "facts")
+    facts = keep(rank.join(nodes.select("id", "n", "odd", "keys"), "id"), "facts")
     entries = keep(meetings.join(facts.select("id", "rank"), "id").select("key", "id", "rank"), "entries")
     forget(meetings)
     wanted = rows.join(facts.select(F.col("id").alias("doc_id")).hint("shuffle_hash"), "doc_id", "left_semi")
     grams = keep(wanted.mapInArrow(collect_sets, "id long, grams array<long>").dropDuplicates(["id"]), "grams")
     sweep(spark)
 
-    limit = most_differing(percent / 100)
-    edges = label = tried = None
-    open_entries = entries
-    for step in range(rounds):
-        hub = F.max(F.struct("rank", -F.col("id")))
-        hubs = open_entries if step == 0 else open_entries.where("loose")
-        hubs = keep(hubs.groupBy("key").agg((-hub["col2"]).alias("hub")), "hubs")
-        pairs = open_entries.join(hubs, "key").where("id <> hub")
-        if step:
-            own = label.select(F.col("id").alias("hub"), F.col("component_id").alias("hub_part"))
-            pairs = pairs.join(own, "hub", "left").where("part <> coalesce(hub_part, hub)")
-        pairs = pairs.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"), "hub").groupBy("a", "b").agg(F.max("hub").alias("hub"))
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = keep(pairs, "pairs")
-        tried = pairs.select("a", "b") if tried is None else tried.unionByName(pairs.select("a", "b"))
-        side = lambda k: facts.select(F.col("id").alias(k), F.col("n").alias(f"n_{k}"), F.col("odd").alias(f"odd_{k}"))
-        alike = pairs.join(side("a"), "a").join(side("b"), "b")
-        alike = alike.where((F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent) & (differing(F.col("odd_a"), F.col("odd_b")) <= limit))
-        alike = keep(alike.select("hub", (F.col("a") + F.col("b") - F.col("hub")).alias("other")), "alike")
+    side = facts.select("id", "n", "odd")
+
+    def confirm(pairs: DataFrame) -> DataFrame:
+        """Links among pairs (hub, other): sizes, then sketches, then the full sets."""
+        of = lambda k: side.select(*(F.col(c).alias(f"{c}_{k}") for c in side.columns))
+        alike = pairs.join(of("a"), F.col("hub") == F.col("id_a")).join(of("b"), F.col("other") == F.col("id_b"))
+        alike = keep(alike.where(_may_link("a", "b", percent)).select("hub", "other"), "alike")
         both = alike.join(grams.select(F.col("id").alias("other"), F.col("grams").alias("g")), "other").join(grams.select(F.col("id").alias("hub"), F.col("grams").alias("h")), "hub")
         common = F.size(F.array_intersect("g", "h"))
-        found = both.where(common * 100 >= percent * (F.size("g") + F.size("h") - common)).select(F.col("hub").alias("a"), F.col("other").alias("b"))
-        found = keep(found, "links")
+        found = keep(both.where(common * 100 >= percent * (F.size("g") + F.size("h") - common)).select(F.col("hub").alias("a"), F.col("other").alias("b")), "links")
         forget(alike)
-        forget(hubs)
-        new = found.count()
-        if step and not new and not pairs.limit(1).count():
-            break
-        if step == 0 or new:
-            edges = found if edges is None else edges.unionByName(found)
-            label = keep(components(edges), "parts")
-        # what is left: nodes apart from the component of the hub they met, with their buckets
-        part = label.select("id", F.col("component_id").alias("part"))
-        now = open_entries.drop("part", "loose").join(part, "id", "left").withColumn("part", F.coalesce("part", "id"))
-        mixed = now.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
-        held = keep(mixed, "mixed")
-        main = keep(now.join(held.select("key"), "key"), "open")
-        sizes = main.groupBy("key", "part").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.max(F.struct("c", "part")).alias("m")).select("key", F.col("m.part").alias("main_part"))
-        sizes = keep(sizes, "sizes")
-        nxt = keep(main.join(sizes, "key").withColumn("loose", F.col("part") != F.col("main_part")).drop("main_part"), "loose")
-        if step:
-            forget(open_entries)
-        open_entries = nxt
-        forget(held)
-        forget(main)
-        forget(sizes)
-        if not open_entries.limit(1).count():
-            break
+        return found
+
+    def still_apart(entries: DataFrame, label: DataFrame) -> DataFrame:
+        """Entries of the buckets that hold several components; loose: outside the bucket's largest one."""
+        now = entries.drop("part", "loose").join(label.select("id", F.col("component_id").alias("part")), "id", "left").withColumn("part", F.coalesce("part", "id"))
+        per = now.groupBy("key", "part").agg(F.count(F.lit(1)).alias("c"))
+        mixed = per.groupBy("key").agg(F.max(F.struct("c", "part")).alias("m"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+        mixed = keep(mixed.select("key", F.col("m.part").alias("main")), "mixed")
+        out = keep(now.join(mixed, "key").withColumn("loose", F.col("part") != F.col("main")).drop("main"), "open")
+        forget(mixed)
+        return out
+
+    # hubs first: each round is linear in the bucket
+    tried = links = label = None
+    left = entries.withColumn("part", F.col("id")).withColumn("loose", F.lit(True))
+    for _ in range(hub_rounds):
+        hub = left.where("loose").groupBy("key").agg(F.max(F.struct("rank", (-F.col("id")).alias("m"), "part")).alias("h"))
+        hub = keep(hub.select("key", (-F.col("h.m")).alias("hub"), F.col("h.part").alias("hub_part")), "hubs")
+        pairs = left.join(hub, "key").where("id <> hub and part <> hub_part").select("hub", F.col("id").alias("other"))
+        pairs = keep((pairs.distinct() if tried is None else pairs.distinct().join(tried, ["hub", "other"], "left_anti")), "pairs")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        tried = tried.unionByName(pairs.select(F.col("other").alias("hub"), F.col("hub").alias("other")))
+        found = confirm(pairs)
+        links = found if links is None else links.unionByName(found)
+        label = keep(components(links), "parts")
+        left = still_apart(left, label)
+    # then what hubs left apart, each loose node against the bucket's other components: few by now
+    side = facts.select("id", "n", "odd", "keys")
+    x = left.where("loose").join(side, "id").select("key", *(F.col(c).alias(f"{c}_x") for c in (*side.columns, "part", "loose")))
+    y = left.join(side, "id").select(F.col("key").alias("key_y"), *(F.col(c).alias(f"{c}_y") for c in (*side.columns, "part", "loose")))
+    first = F.element_at(F.array_intersect("keys_x", "keys_y"), 1) == F.col("key")  # a pair counts in one of its buckets
+    rest = x.join(y, (F.col("key") == F.col("key_y")) & (F.col("part_x") != F.col("part_y")) & (~F.col("loose_y") | (F.col("id_x") < F.col("id_y"))) & _may_link("x", "y", percent) & first)
+    rest = keep(rest.select(F.col("id_x").alias("hub"), F.col("id_y").alias("other")).distinct().join(tried, ["hub", "other"], "left_anti"), "rest")
+    found = confirm(rest)
+    if found.limit(1).count():
+        label = keep(components(links.unionByName(found)), "parts")
     member = signed.select("doc_id", "n", "s1", "s2").join(nodes.select(F.col("id").alias("node"), *(F.col(c).alias(f"{c}_") for c in one_set)), (F.col("s1") == F.col("s1_")) & (F.col("s2") == F.col("s2_")) & (F.col("n") == F.col("n_")), "left")
     out = member.join(label.select(F.col("id").alias("node"), "component_id"), "node", "left")
     root = F.coalesce("component_id", "node", "doc_id")
