@@ -44,6 +44,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffixes import remove_repeats
+
+    return remove_repeats(_table(spark, sf_dir, "documents"), length=100)
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .minhash import near_duplicates
 
@@ -62,5 +68,5 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op3_sharding, op6_minhash, op7_language, op8_mixing, op9_packing, op10_quality)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op3_sharding, op4_suffixes, op6_minhash, op7_language, op8_mixing, op9_packing, op10_quality)}
 ORACLES: dict[str, str] = {}
