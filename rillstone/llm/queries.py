@@ -50,6 +50,12 @@ def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"), length=100)
 
 
+def op5_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .forest import near_duplicate_vectors
+
+    return near_duplicate_vectors(_table(spark, sf_dir, "embeddings"), at_least=0.93)
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .minhash import near_duplicates
 
@@ -68,5 +74,5 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op3_sharding, op4_suffixes, op6_minhash, op7_language, op8_mixing, op9_packing, op10_quality)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op3_sharding, op4_suffixes, op5_forest, op6_minhash, op7_language, op8_mixing, op9_packing, op10_quality)}
 ORACLES: dict[str, str] = {}
