@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -13,6 +14,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_kmtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .kmtree import nearest
+
+    return nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sharding import shard_documents
 
@@ -74,5 +81,5 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op3_sharding, op4_suffixes, op5_forest, op6_minhash, op7_language, op8_mixing, op9_packing, op10_quality)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_kmtree, op3_sharding, op4_suffixes, op5_forest, op6_minhash, op7_language, op8_mixing, op9_packing, op10_quality)}
 ORACLES: dict[str, str] = {}
