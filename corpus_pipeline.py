@@ -1,14 +1,74 @@
-"""Corpus pipeline: language ID, near-duplicates, repeated passages, source mix, packing."""
+"""Corpus pipeline: language ID, near-duplicates, repeated passages, source mix, packing.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept. Null texts, empty
+tables and repeated rows follow the operators' own rules; columns other than those of documents are
+dropped by the first stage.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rillstone.llm.language import identify
+from rillstone.llm.minhash import near_duplicates
+from rillstone.llm.mixing import mix_documents
+from rillstone.llm.packing import pack_documents
+from rillstone.llm.queries import tokenizer
+from rillstone.llm.shared import keep
+from rillstone.llm.suffixes import remove_repeats
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language (no letter at all) go; the others get the language they are written in."""
+    judged = identify(docs.select(*COLUMNS), carry=COLUMNS)
+    given = [F.col("lang_pred").alias("lang") if c == "lang" else F.col(c) for c in COLUMNS]
+    return judged.where("lang_pred <> 'und'").select(*given)
+
+
+def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: the one with the smallest id."""
+    docs = docs.select(*COLUMNS)
+    gone = near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    left = docs.join(gone, "doc_id", "left_anti")
+    return left.dropDuplicates(["doc_id"]).select(*COLUMNS)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 100 bytes or more that stand earlier in the corpus leave the texts; texts left empty go."""
+    cut = remove_repeats(docs.select(*COLUMNS), digests=False)
+    return cut.withColumn("n_chars", F.char_length("text").cast("long")).where("length(btrim(text)) > 0").select(*COLUMNS)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as many times as the mix takes it."""
+    docs = docs.select(*COLUMNS)
+    copies = keep(mix_documents(docs).where("copies > 0").select("doc_id", "copies"), "copies")
+    # without a skewed key: ids are unique after the near-duplicate stage
+    out = docs.join(copies, "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return out.select(*COLUMNS)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the mixed documents and the sequences that they lie in."""
+    return pack_documents(docs, tokenizer("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("language ID", language),
+    ("MinHash near-dedup", near_duplicate),
+    ("suffix-array dedup", repeated_passages),
+    ("source mix", source_mix),
+    ("best-fit packing", packing),
+]
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    """STAGES in order, applied to documents."""
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STAGES in order, applied to documents; each result is a written table that the next one reads."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = keep(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
