@@ -32,7 +32,7 @@ from .shared import keep, sweep, tasks_for
 
 GRAM, BIN = 40, 20
 #: Runs that a task sorts and sends off together.
-FLUSH = 1_200_000
+FLUSH = 600_000
 RUN = np.dtype([("h", "u8"), ("c", "u8"), ("doc", "i8"), ("at", "u4"), ("n", "u1"), ("off", "u1"), ("many", "u1")])
 MARK = np.dtype([("doc", "i8"), ("at", "u4"), ("n", "u1"), ("off", "u1"), ("ask", "u1")])
 PIECE = np.dtype([("key", "u8"), ("doc", "i8"), ("at", "u4"), ("n", "u1")])
@@ -191,18 +191,38 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     return out
 
 
+def shared_keys(key: np.ndarray) -> np.ndarray:
+    """Positions of the keys that occur more than once."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    twin = np.zeros(len(key), bool)
+    twin[1:] |= key[1:] == key[:-1]
+    twin[:-1] |= key[:-1] == key[1:]
+    return order[twin]
+
+
 def repeats_among(head: np.ndarray, text: np.ndarray, length: int) -> np.ndarray:
     """Windows of the pieces that start earlier too, as marks of one window. text: the pieces' bytes, end to end."""
     size = head["n"].astype(np.int64) + length - 1
     begin = np.cumsum(size) - size
-    order = np.argsort(head["key"], kind="stable")
-    key = head["key"][order]
-    twin = np.zeros(len(key), bool)
-    twin[1:] |= key[1:] == key[:-1]
-    twin[:-1] |= key[:-1] == key[1:]
-    pick = order[twin]
+    pick = shared_keys(head["key"])
+    whole = np.zeros(0, MARK)
+    if len(pick):
+        # equal pieces: all but the first in the corpus repeat whole, and need no sorting
+        same = span_hash(prefix_hash(text), begin[pick], begin[pick] + size[pick])
+        order = np.lexsort((head["at"][pick], head["doc"][pick], same))
+        pick, same = pick[order], same[order]
+        new = np.ones(len(pick), bool)
+        new[1:] = same[1:] != same[:-1]
+        first = pick[np.flatnonzero(new)[np.cumsum(new) - 1]]
+        later = (head["doc"][pick] != head["doc"][first]) | (head["at"][pick] != head["at"][first])
+        whole = np.zeros(int(later.sum()), MARK)
+        for k in ("doc", "at", "n"):
+            whole[k] = head[k][pick[later]]
+        pick = np.sort(pick[new])
+        pick = pick[shared_keys(head["key"][pick])]
     if not len(pick):
-        return np.zeros(0, MARK)
+        return join_spans(whole)
     head, size, begin = head[pick], size[pick], begin[pick]
     at = np.cumsum(size) - size
     s = text[np.repeat(begin - at, size) + np.arange(size.sum())].astype(np.int64) + 1
@@ -230,7 +250,7 @@ def repeats_among(head: np.ndarray, text: np.ndarray, length: int) -> np.ndarray
     later = (doc != doc[first]) | (start != start[first])
     out = np.zeros(int(later.sum()), MARK)
     out["doc"], out["at"], out["n"] = doc[later], start[later], 1
-    return join_spans(join_spans(join_spans(np.unique(out))))
+    return np.concatenate([join_spans(whole), join_spans(join_spans(join_spans(np.unique(out))))])
 
 
 def pieces_of(table: pa.Table, asked: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -241,7 +261,7 @@ def pieces_of(table: pa.Table, asked: np.ndarray, length: int) -> tuple[np.ndarr
     asked = np.sort(asked, order=["doc", "at"])
     own = table.take(pa.array(keep_rows)).combine_chunks()
     ids = ids[keep_rows]
-    for i, j, buf, offs in slices(own["text"], 1 << 20):
+    for i, j, buf, offs in slices(own["text"], 1 << 19):
         sums = prefix_hash(buf)
         lo, hi = np.searchsorted(asked["doc"], ids[i:j]), np.searchsorted(asked["doc"], ids[i:j], "right")
         row = np.repeat(np.arange(j - i), hi - lo)
@@ -310,7 +330,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
 
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            for i, j, buf, offs in slices(batch.column(1), 1 << 20):
+            for i, j, buf, offs in slices(batch.column(1), 1 << 19):
                 held.append(runs_of(buf, offs, ids[i:j], length))
                 if sum(map(len, held)) > FLUSH:
                     yield from flush()
