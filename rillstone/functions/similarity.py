@@ -7,11 +7,12 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .text import prefix_len
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """2 * matched / summed lengths, the first argument as first sequence (the measure isn't symmetric)."""
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
