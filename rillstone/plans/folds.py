@@ -1 +1,66 @@
-"""Queries."""
+"""Queries over order-dependent folds."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from rillstone.operators import folds
+
+from .registry import query
+
+
+def _places(t):
+    """Events as places: a nullable kind with spelling variants, and a nullable ward."""
+    k = F.col("event_id")
+    kind = F.when(k % 7 == 0, F.lit(None)).when(k % 11 == 0, F.concat("event_type", F.lit("s"))).otherwise(F.col("event_type"))
+    ward = F.when(k % 5 == 0, F.lit(None)).otherwise(F.concat(F.lit("ward "), F.floor(k / 40) % 4))
+    return t("events").select("event_id", "user_id", kind.alias("kind"), ward.cast("string").alias("ward"), "value")
+
+
+@query()
+def anchor_runs(t):
+    return folds.anchor_runs(_places(t), "user_id", "event_id", ["kind", "ward"]).select("event_id", "user_id", "run")
+
+
+def _runs(t):
+    runs = folds.anchor_runs(_places(t), "user_id", "event_id", ["kind", "ward"])
+    return runs.groupBy("user_id", "run").agg(F.min("event_id").alias("first"), F.max("event_id").alias("last"), F.min_by("kind", F.when(F.col("kind").isNotNull(), F.col("event_id"))).alias("kind"), F.min_by("ward", F.when(F.col("ward").isNotNull(), F.col("event_id"))).alias("ward"), F.sum(F.lit(1)).alias("size"))
+
+
+@query()
+def club_runs(t):
+    return folds.club_runs(_runs(t), "user_id", "first", ["kind"], ["ward"]).select("user_id", "run", "club")
+
+
+@query()
+def merge_runs(t):
+    return folds.merge_gaps(_runs(t), "user_id", "first", "kind", "first", "last", "size", 20, 50).select("user_id", "run", "merged")
+
+
+@query()
+def coalesce_small(t):
+    return folds.coalesce_small(_runs(t).withColumn("size", F.col("size").cast("double")), "user_id", "first", "size", "ward", 5, 40).select("user_id", "run", "joined")
+
+
+@query()
+def leader_cluster(t):
+    rows = t("part").select("p_partkey", "p_brand", F.when(F.col("p_partkey") % 4 == 0, F.replace("p_name", F.lit("a"), F.lit("o"))).otherwise(F.col("p_name")).alias("name"))
+    return folds.leader_clusters(rows, "p_brand", "p_partkey", "name", window=400).select("p_partkey", "name", "canonical")
+
+
+RUNG = "select *, count(*) over (partition by {n}) as c{i}, case when count(*) over (partition by {n}) > 1 and {q} is not null and {q} <> '' and {q} <> {n} then {n} || ' (' || {q} || ')' else {n} end as t{i} from {f}"
+
+
+def _ladder() -> str:
+    f, n = "part", "p_name"
+    for i, q in enumerate(("p_brand", "p_type", "cast(p_size as varchar)")):
+        f = f"({RUNG.format(n=n, q=q, i=i, f=f)})"
+        f = f"(select *, case when count(*) over (partition by t{i}) < c{i} then t{i} else {n} end as n{i} from {f})"
+        n = f"n{i}"
+    return f"select p_partkey, {n} as label from {f}"
+
+
+@query(_ladder())
+def dedupe_names(t):
+    rows = t("part").select("p_partkey", "p_name", "p_brand", "p_type", F.col("p_size").cast("string").alias("size"))
+    return folds.dedupe_names(rows, "p_name", ["p_brand", "p_type", "size"]).select("p_partkey", "label")

@@ -57,10 +57,10 @@ def map_lookup(t):
     return joins.map_lookup(t("nation").select("n_nationkey", F.col("n_regionkey").cast("string").alias("region")), m, "region")
 
 
-@query("select o.o_orderkey, o.o_custkey % 10 as batch, coalesce(a.status, o.o_orderstatus) as o_orderstatus, o.o_orderstatus as old_o_orderstatus, case when a.k is null then 'missing' else 'merged' end as flag from orders o left join (select l_orderkey as k, arg_max(l_linestatus, l_linenumber * 1000000.0 + l_partkey + l_suppkey / 100000.0) as status from lineitem group by l_orderkey) a on a.k = o.o_orderkey")
+@query("select o.o_orderkey, o.o_custkey % 10 as batch, coalesce(a.status, o.o_orderstatus) as o_orderstatus, o.o_orderstatus as old_o_orderstatus, case when a.k is null then 'missing' else 'merged' end as flag from orders o left join (select l_orderkey as k, arg_max(l_linestatus, l_linenumber * 1000000000000 + l_partkey * 1000000 + l_suppkey * 10 + cast(l_linestatus = 'O' as int)) as status from lineitem group by l_orderkey) a on a.k = o.o_orderkey")
 def positional_merge(t):
-    # the tie-break is unique within an order up to repeated rows with equal status
-    answers = t("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_linestatus").alias("o_orderstatus"), (F.col("l_linenumber") * 1000000.0 + F.col("l_partkey") + F.col("l_suppkey") / 100000.0).alias("at"))
+    # what ties has the same status
+    answers = t("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_linestatus").alias("o_orderstatus"), (F.col("l_linenumber") * F.lit(10**12) + F.col("l_partkey") * F.lit(10**6) + F.col("l_suppkey") * 10 + (F.col("l_linestatus") == "O").cast("int")).alias("at"))
     req = t("orders").select("o_orderkey", (F.col("o_custkey") % 10).alias("batch"), "o_orderstatus")
     return joins.positional_merge(req, answers, ["o_orderkey"], ["o_orderstatus"], "at")
 
