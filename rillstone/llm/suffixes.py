@@ -104,6 +104,7 @@ def settle(runs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def by_range(h: np.ndarray, parts: int) -> np.ndarray:
+    """Equal ranges of evenly spread hashes (anchors, being minima, are not: mix them first)."""
     return ((h >> U(32)) * U(parts) >> U(32)).astype(np.int64)
 
 
@@ -324,7 +325,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
         def flush() -> Iterator[pa.RecordBatch]:
             on, repeat, ask = settle(np.concatenate(held)) if held else (np.zeros(0, RUN),) * 3
             held.clear()
-            yield send(*_with(0, packed(by_range(on["h"], parts), on)))
+            yield send(*_with(0, packed(by_range(mix(on["h"]), parts), on)))
             m = np.concatenate([join_spans(join_spans(marks(repeat, False))), marks(ask, True)])
             yield send(*_with(1, packed(bucket_of(m["doc"], parts), m)))
 
