@@ -311,7 +311,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     """
     if length < GRAM + BIN:
         raise ValueError(f"length must be {GRAM + BIN} at least")
-    parts = tasks_for(docs)
+    parts = 2 * tasks_for(docs)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     known = rows.where("doc_id is not null and text is not null")
     out_schema = "part int, kind int, data binary"
@@ -410,7 +410,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
         if blank.any():
             gone[np.repeat(blank, np.diff(offs))] = False
         left = buf[~gone]
-        cum = np.concatenate([[0], np.cumsum(gone, dtype=np.int64)])
+        cum = np.concatenate([np.zeros(1, np.int32), np.cumsum(gone, dtype=np.int32)])
         removed = cum[offs[1:]] - cum[offs[:-1]]
         if not digests:
             at = offs - cum[offs]
@@ -422,11 +422,11 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
         rise[1:] &= ~gone[:-1]
         inner = offs[:-1][np.diff(offs) > 0]
         rise[inner] = gone[inner]
-        spans = np.concatenate([[0], np.cumsum(rise, dtype=np.int64)])
+        spans = np.concatenate([np.zeros(1, np.int32), np.cumsum(rise, dtype=np.int32)])
         at = offs - cum[offs]
         raw = memoryview(np.ascontiguousarray(left)).cast("B") if len(left) else memoryview(b"")
         digest = [hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-        return pa.Table.from_arrays([id_column, pa.array(np.diff(offs)), pa.array(removed), pa.array(spans[offs[1:]] - spans[offs[:-1]]), pa.array(digest)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+        return pa.Table.from_arrays([id_column, pa.array(np.diff(offs)), pa.array(removed.astype(np.int64)), pa.array((spans[offs[1:]] - spans[offs[:-1]]).astype(np.int64)), pa.array(digest)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     if digests:
         schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
