@@ -393,8 +393,10 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     sweep(docs.sparkSession)
     all_marks = met.unionByName(solved)
 
-    full = rows if digests else docs.select(F.col(id_col).cast("long").alias("_id"), *docs.columns)
-    names = full.columns
+    # the documents' own columns travel under numbers: no name of theirs can clash with ours
+    full = rows if digests else docs.select(F.col(id_col).cast("long").alias("_id"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(docs.columns)])
+    names = ["_id", *docs.columns]
+    docs_columns = docs.columns
     text_at = 1 if digests else names.index(text_col)
 
     def finish(own: pa.Table, told: pa.Table) -> pa.Table:
@@ -417,7 +419,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
             text = [left[a:b].tobytes().decode("utf-8", "ignore") if r else None for a, b, r in zip(at[:-1], at[1:], removed, strict=True)]
             old = col.to_pylist()
             fresh = pa.array([o if t is None else t for o, t in zip(old, text, strict=True)], pa.string())
-            return pa.Table.from_arrays([fresh if k == text_at else own.column(1 + k) for k in range(1, len(names))], names=names[1:])
+            return pa.Table.from_arrays([fresh if k == text_at else own.column(1 + k) for k in range(1, 1 + len(docs_columns))], names=docs_columns)
         rise = gone.copy()
         rise[1:] &= ~gone[:-1]
         inner = offs[:-1][np.diff(offs) > 0]

@@ -1,0 +1,391 @@
+import hashlib
+import math
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, label string, part int, kept boolean, key string, h long"
+
+
+def docs(spark, texts, source=None, ids=None):
+    rows = [(i if ids is None else ids[i], t, "en", (source[i] if source else "s"), None, "x", 1, True, "k", 2) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def prose(r, n, words=400):
+    return " ".join(f"w{r.randrange(words)}" for _ in range(n))
+
+
+# ---------------------------------------------------------------- sharding
+
+
+def test_sharding(spark):
+    from rillstone.llm.sharding import shard_documents
+
+    r = random.Random(1)
+    texts = [prose(r, r.randrange(1, 40)) for _ in range(600)] + ["same text"] * 300 + [None, "", "é"]
+    got = shard_documents(docs(spark, texts), shards=7).toPandas().sort_values("doc_id").reset_index(drop=True)
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        raw = (t or "").encode()
+        assert (got["size"][i], got["text_crc32"][i]) == (len(raw) + 16, zlib.crc32(raw))
+    assert got[600:900]["shard"].nunique() == 1
+    for _, g in got.groupby("shard"):
+        assert sorted(g["slot"]) == list(range(len(g)))
+    per = got.groupby("shard")["size"].sum()
+    largest = max(got.groupby("text_crc32")["size"].sum().max(), 0)
+    assert per.max() <= got["size"].sum() / 7 + largest + 1
+    assert set(got["law"]) == {"bytes"} and got["grown_shard"].isna().all()
+
+
+def test_sharding_is_minimax(spark):
+    from rillstone.llm import sharding
+
+    r = random.Random(3)
+    sizes = [r.randrange(1, 50) for _ in range(40)]
+    plan = sharding._plan(spark.createDataFrame(list(enumerate(sizes)), "unit int, bytes long"), 5).toPandas().sort_values("unit")
+    loads = [sum(s for s, k in zip(sizes, plan["shard"]) if k == j) for j in range(5)]
+    assert plan["shard"].is_monotonic_increasing
+
+    def shards_for(cap):
+        n, used = 1, 0
+        for s in sizes:
+            n, used = (n, used + s) if used + s <= cap else (n + 1, s)
+        return n
+
+    assert max(loads) == next(c for c in range(max(sizes), sum(sizes) + 1) if shards_for(c) <= 5)
+
+
+def test_sharding_of_nothing(spark):
+    from rillstone.llm.sharding import shard_documents
+
+    assert shard_documents(docs(spark, []), shards=4).count() == 0
+
+
+# ---------------------------------------------------------------- mixing
+
+
+def fair_targets(sizes, weights, limit=3.0):
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + ([None] if None in sizes else [])
+    w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    target, open_, left = {}, set(names), float(sum(sizes.values()))
+    while open_:
+        total = sum(w[s] for s in open_)
+        over = [s for s in open_ if left * w[s] / total > limit * sizes[s]]
+        if not over:
+            return target | {s: left * w[s] / total for s in open_}
+        for s in over:
+            target[s] = limit * sizes[s]
+            left -= target[s]
+            open_.discard(s)
+    return target
+
+
+def test_mixing(spark):
+    from rillstone.llm.mixing import mix_documents
+
+    r = random.Random(2)
+    source = [r.choice(["b", "a", "é", None, "z"]) if i % 3 else "hot" for i in range(900)]
+    texts = [prose(r, r.randrange(0, 30)) for _ in source]
+    texts[5], texts[6] = None, ""
+    d = docs(spark, texts, source)
+    got = mix_documents(d).toPandas()
+    sizes = {}
+    for t, s in zip(texts, source):
+        sizes[s] = sizes.get(s, 0) + len((t or "").split())
+    want = fair_targets(sizes, (1, 2, 3))
+    for s, g in got.groupby("source", dropna=False):
+        s = None if s is None or s != s else s
+        assert g["target"].iloc[0] == pytest.approx(want[s])
+        assert g["source_size"].iloc[0] == sizes[s]
+        assert abs(g["taken"].sum() - want[s]) <= 31
+    assert (got["taken"] <= 3 * got["size"]).all() and (got["taken"] == got["copies"] * got["size"]).all()
+    again = mix_documents(d.repartition(7)).toPandas()
+    key = ["doc_id", "taken"]
+    assert got[key].sort_values(key).values.tolist() == again[key].sort_values(key).values.tolist()
+    assert mix_documents(docs(spark, [])).count() == 0
+    assert mix_documents(docs(spark, [None, ""])).agg(F.sum("taken")).first()[0] == 0
+
+
+def test_mixing_stops_at_three_times(spark):
+    from rillstone.llm.mixing import mix_documents
+
+    texts = ["a b"] * 4 + [prose(random.Random(1), 50) for _ in range(40)]
+    source = ["z"] * 4 + ["a"] * 40  # z weighs 2 of 3 and would get far more than three times its size
+    got = mix_documents(docs(spark, texts, source)).toPandas()
+    assert set(got[got["source"] == "z"]["taken"]) == {6}
+
+
+# ---------------------------------------------------------------- repeated passages
+
+
+def repeats_oracle(rows, length):
+    seen, out = {}, {}
+    for i, t in sorted(rows, key=lambda x: x[0]):
+        b = (t or "").encode()
+        gone = [False] * len(b)
+        for s in range(len(b) - length + 1):
+            w = b[s : s + length]
+            if w in seen:
+                gone[s : s + length] = [True] * length
+            else:
+                seen[w] = 1
+        kept = bytes(c for c, g in zip(b, gone) if not g)
+        spans = sum(g and (k == 0 or not gone[k - 1]) for k, g in enumerate(gone))
+        out[i] = (len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest())
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_repeats(spark, seed):
+    from rillstone.llm.suffixes import remove_repeats
+
+    r = random.Random(seed)
+    parts = [prose(r, 30, 8) for _ in range(6)] + ["Licensed under some long and well known licence, version 2 of it."]
+    texts = [None, "", "short", "ab" * 200, "ü" * 150]
+    for _ in range(60):
+        t = " ".join(r.choice([r.choice(parts), prose(r, r.randrange(1, 25), 9)]) for _ in range(r.randrange(1, 6)))
+        texts.append(t)
+    texts += [texts[7], texts[7][:150] + "!" + texts[7][150:]]
+    got = {x[0]: tuple(x)[1:] for x in remove_repeats(docs(spark, texts), length=100).collect()}
+    assert got == repeats_oracle(list(enumerate(texts)), 100)
+
+
+def test_repeats_as_documents(spark):
+    from rillstone.llm.suffixes import remove_repeats
+
+    a = prose(random.Random(4), 60)
+    d = docs(spark, [a, "start " + a + " end", None])
+    out = {r["doc_id"]: r for r in remove_repeats(d, digests=False).collect()}
+    assert out[0]["text"] == a and out[2]["text"] is None
+    assert len(out[1]["text"]) < 30 and out[1]["text"].endswith(" end")
+    assert out[1].asDict().keys() == {f.name for f in d.schema}
+    assert remove_repeats(docs(spark, [])).count() == 0
+    twice = remove_repeats(docs(spark, [a, a], ids=[1, 1])).collect()
+    assert [r["n_removed"] for r in twice] == [0, 0]
+    assert remove_repeats(docs(spark, [a, a], ids=[None, 3])).where("n_removed > 0").count() == 0
+
+
+# ---------------------------------------------------------------- near-duplicates
+
+
+def near_oracle(texts, percent=85):
+    sets = []
+    for t in texts:
+        w = (t or "").lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set()))
+    comp = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            n = len(sets[i] & sets[j])
+            if sets[i] and sets[j] and 100 * n >= percent * len(sets[i] | sets[j]) and comp[i] != comp[j]:
+                a, b = sorted((comp[i], comp[j]))
+                comp = [a if c == b else c for c in comp]
+    return {i: (len(s), c) for i, (s, c) in enumerate(zip(sets, comp))}
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_near_duplicates(spark, seed):
+    from rillstone.llm.minhash import near_duplicates
+
+    r = random.Random(seed)
+    texts = [None, "", "  ", "two words", "Two  words", "three short words"]
+    for _ in range(12):
+        base = prose(r, r.randrange(30, 200)).split()
+        for _ in range(r.randrange(1, 14)):
+            w = list(base)
+            for _ in range(r.randrange(0, 4)):
+                w[r.randrange(len(w))] = f"x{r.randrange(99)}"
+            texts.append(" ".join(w))
+    texts += [texts[10]] * 20
+    got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in near_duplicates(docs(spark, texts)).collect()}
+    assert got == near_oracle(texts)
+
+
+def test_near_duplicates_of_nothing(spark):
+    from rillstone.llm.minhash import near_duplicates
+
+    assert near_duplicates(docs(spark, [])).count() == 0
+    rows = near_duplicates(docs(spark, ["a b c d e f", "a b c d e f", None], ids=[4, 4, None])).collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in rows) == [(0, 0), (4, 4), (4, 4)]
+
+
+# ---------------------------------------------------------------- packing
+
+
+def test_packing(spark):
+    from tokenizers import Tokenizer
+
+    from rillstone.llm.packing import pack_documents
+    from rillstone.llm.queries import tokenizer
+
+    r = random.Random(5)
+    texts = [prose(r, r.randrange(0, 200)) for _ in range(150)] + [None, "", "don't <|endoftext|> \x1f ab12,;é", prose(r, 900), "  "] + ["same words here"] * 20
+    path = tokenizer("word_bpe_49k.json")
+    got = pack_documents(docs(spark, texts), path, tokens=256).toPandas()
+    t = Tokenizer.from_file(path)
+    total = 0
+    for i, text in enumerate(texts):
+        ids = np.array(t.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
+        total += len(ids)
+        own = got[got["doc_id"] == i].sort_values("piece")
+        assert own["piece"].tolist() == list(range(math.ceil(len(ids) / 256)))
+        for p in own.itertuples():
+            part = ids[p.start : p.start + p.length]
+            assert p.start == 256 * p.piece and len(part) == p.length and p.ids_crc32 == zlib.crc32(part.tobytes())
+    bins = got.groupby("sequence_id")
+    for _, g in bins:
+        g = g.sort_values("offset")
+        assert g["offset"].tolist() == [0, *g["length"].cumsum().tolist()][:-1] and g["length"].sum() <= 256
+    assert bins.ngroups <= math.ceil(total / 256) * 1.05 + 1
+    assert pack_documents(docs(spark, []), path).count() == 0
+
+
+@pytest.mark.parametrize(("documents", "attention"), [(3, 10**9), (100, 3000), (2, 2600)])
+def test_packing_keeps_every_capacity(documents, attention):
+    from rillstone.llm.packing import plan_bins
+
+    r = np.random.default_rng(1)
+    lengths, counts = np.unique(r.integers(1, 50, 400), return_counts=True)
+    bins, placed = {}, 0
+    for length, first, n, per, start, offset in plan_bins(lengths, counts, 100, documents, attention):
+        for k in range(n):
+            bins.setdefault(start + k // per, []).append((offset + k % per * length, length))
+            placed += 1
+    assert placed == counts.sum()
+    for own in bins.values():
+        own.sort()
+        assert [o for o, _ in own] == [0, *np.cumsum([n for _, n in own])[:-1].tolist()]
+        assert sum(n for _, n in own) <= 100 and len(own) <= documents and sum(n * n for _, n in own) <= attention
+
+
+# ---------------------------------------------------------------- vectors
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, leaf int, x string")
+
+
+def odd_rows(dims):
+    return [(9001, None, 1, 0, ""), (9002, [0.0] * dims, 1, 0, ""), (9003, [float("nan")] * dims, 1, 0, ""), (9004, [None] * dims, 1, 0, ""), (9005, [1.0], 1, 0, ""), (9006, [float("inf")] * dims, 1, 0, ""), (9007, [0.0] * dims, 1, 0, "")]
+
+
+def test_vector_links(spark):
+    from rillstone.llm.forest import near_duplicate_vectors
+
+    r = np.random.default_rng(3)
+    base = r.normal(size=(30, 16))
+    rows = []
+    for i in range(600):
+        v = base[r.integers(30)] + 0.12 * r.normal(size=16) if i % 2 else r.normal(size=16)
+        rows.append((i, [float(np.float32(x)) for x in v], int(r.integers(3)) if i % 10 else None, 0, ""))
+    rows += [(700 + i, rows[1][1], rows[1][2], 0, "") for i in range(5)]
+    got = {x["vec_id"]: x for x in near_duplicate_vectors(vectors(spark, rows + odd_rows(16)), 0.93).collect()}
+    x = np.array([v[1] for v in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    lab = np.array([-1 if v[2] is None else v[2] for v in rows])
+    link = (x @ x.T >= 0.93) & (lab[:, None] == lab[None, :]) & (lab[:, None] >= 0)
+    np.fill_diagonal(link, False)
+    found = np.array([got[v[0]]["n_links"] for v in rows])
+    assert (found <= link.sum(1)).all() and found.sum() >= 0.98 * link.sum()
+    for v in odd_rows(16):
+        assert tuple(got[v[0]]) == (v[0], 0, v[0], True)
+    assert len(got) == len(rows) + 7
+    assert near_duplicate_vectors(vectors(spark, [])).count() == 0
+    assert near_duplicate_vectors(vectors(spark, odd_rows(4)[:2])).count() == 2
+
+
+def test_nearest(spark):
+    from rillstone.llm.kmtree import nearest
+
+    r = np.random.default_rng(4)
+    rows = [(i, [float(np.float32(v)) for v in r.normal(size=12) * (1 + i % 3)], 0, 0, "") for i in range(1500)]
+    rows[7] = (7, rows[3][1], 0, 0, "")
+    got = nearest(vectors(spark, rows + odd_rows(12)), F.col("vec_id") % 20 == 0, k=10).toPandas()
+    x = np.array([v[1] for v in rows])
+    hit = 0
+    for q in range(0, 1500, 20):
+        s = x @ x[q]
+        s[q] = -np.inf
+        best = np.lexsort((np.arange(len(s)), -s))[:10]
+        own = got[got["query_id"] == q].sort_values("rank")
+        assert own["rank"].tolist() == list(range(1, 11)) and own["score"].is_monotonic_decreasing and q not in set(own["vec_id"])
+        np.testing.assert_allclose(own["score"], s[own["vec_id"].to_numpy()], rtol=1e-12)
+        hit += len(set(best) & set(own["vec_id"]))
+    assert hit / 750 >= 0.9
+    few = nearest(vectors(spark, rows[:4]), F.col("vec_id") == 0, k=10).collect()
+    assert len(few) == 3
+    assert nearest(vectors(spark, []), F.col("vec_id") == 0).count() == 0
+
+
+# ---------------------------------------------------------------- classifiers
+
+SF = "/root/testdata/sf0.01"
+
+
+def table(spark, name):
+    return spark.read.parquet(f"{SF}/{name}.parquet")
+
+
+def accuracy(spark, got, label):
+    return got.join(table(spark, "labels"), "doc_id").where("held_out").select(F.avg((F.col("predicted") == F.col(label)).cast("int"))).first()[0]
+
+
+def test_toxicity(spark):
+    from rillstone.llm.toxicity import score_toxicity
+
+    got = score_toxicity(table(spark, "documents"), table(spark, "labels"))
+    assert got.count() == table(spark, "documents").count()
+    assert got.where("score between 0 and 1 and predicted = cast(score >= 0.7 as int)").count() == got.count()
+    assert got.where((F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1) != F.col("held_out")).count() == 0
+    assert accuracy(spark, got, "toxic") > 0.85
+    odd = score_toxicity(docs(spark, [None, "", "a b", "a b"]), table(spark, "labels").limit(0)).collect()
+    assert [r["score"] for r in odd] == [0.5] * 4
+
+
+def test_quality(spark):
+    from rillstone.llm.quality import score_quality
+
+    got = score_quality(table(spark, "documents"), table(spark, "labels"))
+    assert got.where("score between 0 and 1").count() == table(spark, "documents").count()
+    assert accuracy(spark, got, "quality") > 0.85
+    assert score_quality(docs(spark, [None, "", "x" * 200_000]), table(spark, "labels").limit(0)).count() == 3
+    assert score_quality(docs(spark, []), table(spark, "labels")).count() == 0
+
+
+def test_language(spark):
+    from rillstone.llm.language import identify
+
+    d = table(spark, "documents")
+    got = identify(d)
+    ok = got.join(d, "doc_id").where("held_out").select(F.avg((F.col("lang_pred") == F.col("lang")).cast("int"))).first()[0]
+    assert ok > 0.95
+    odd = identify(docs(spark, [None, "", "12 !?", "été", "x"], ids=[1, 2, 3, 4, None]), learn_from=d).orderBy("doc_id").collect()
+    assert [r["lang_pred"] for r in odd if r["doc_id"] in (1, 2, 3)] == ["und"] * 3
+    assert all(r["lang_pred"] != "und" for r in odd if r["doc_id"] in (4, None))
+    nothing = identify(docs(spark, ["a b c"]).withColumn("lang", F.lit(None).cast("string"))).collect()
+    assert [tuple(r)[2:] for r in nothing] == [("und", 0.0)]
+
+
+# ---------------------------------------------------------------- pipeline
+
+
+def test_pipeline(spark):
+    import corpus_pipeline as p
+
+    from rillstone.llm.shared import keep
+
+    names = [n for n, _ in p.STAGES]
+    assert len(names) == 5
+    d = table(spark, "documents").limit(300)
+    extra = d.withColumn("kept", F.lit(1)).unionByName(d.limit(5).withColumn("text", F.lit("12 34")).withColumn("doc_id", F.col("doc_id") + 10**6).withColumn("kept", F.lit(1)))
+    for name, stage in p.STAGES[:-1]:
+        out = keep(stage(spark, extra, SF), "stage")
+        assert out.columns == list(p.COLUMNS), name
+        extra = out
+    packed = p.STAGES[-1][1](spark, extra, SF)
+    assert packed.select("doc_id").distinct().count() == extra.select("doc_id").distinct().count()
+    assert extra.where(F.col("doc_id") >= 10**6).count() == 0
