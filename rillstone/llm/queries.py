@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import oracles
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -82,4 +84,4 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_kmtree, op3_sharding, op4_suffixes, op5_forest, op6_minhash, op7_language, op8_mixing, op9_packing, op10_quality)}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_suffixes": oracles.SUFFIXES, "op5_forest": oracles.FOREST, "op6_minhash": oracles.MINHASH}

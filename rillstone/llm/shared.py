@@ -1,93 +1,16 @@
-"""Working tables, connected components and small helpers of the training-data operators."""
+"""What the training-data operators share with the rest of the library, and the size of packed shuffles."""
 
 from __future__ import annotations
 
-import gc
-import tempfile
-import uuid
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from rillstone.operators.components import components
+from rillstone.sources.working import forget, keep, shared_dir, sweep
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; one of our own only where the session names none."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="rillstone-")
-        spark.sparkContext.setCheckpointDir(path)
-        path = spark.sparkContext.getCheckpointDir() or path
-    return path
-
-
-def keep(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: lineage ends here and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._rillstone_path = path
-    return out
-
-
-def forget(df: DataFrame) -> None:
-    """Delete a table that keep() wrote and that nothing reads any more."""
-    path = getattr(df, "_rillstone_path", None)
-    if path:
-        jvm = df.sparkSession._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def sweep(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop shuffle files of finished work."""
-    gc.collect()
-    spark._jvm.System.gc()
+__all__ = ["components", "forget", "keep", "shared_dir", "sweep", "tasks_for"]
 
 
 def tasks_for(df: DataFrame) -> int:
     """Number of partitions for packed shuffles: follows the input's own partitions."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     return max(n, 2 * df.rdd.getNumPartitions())
-
-
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """Connected components of edges (a, b): rows (id, component_id), component_id the smallest reachable id.
-
-    Alternating large-star and small-star rounds; each round's edges are a written table, and a
-    round only aggregates by partial sums of minima, so no node's neighbours are gathered anywhere.
-    Nodes without edges do not appear. Null ends are dropped; an empty input gives an empty table.
-    """
-    e = (
-        edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .where("u is not null and v is not null and u <> v")
-        .distinct()
-    )
-    e = keep(e, "edges")
-    for _ in range(max_rounds):
-        # large star: neighbours larger than u go to u's smallest neighbour (or u itself)
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (
-            both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        )
-        # small star: each node's smaller neighbours, and the node, go to the smallest of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        linked = large.join(low, "u")
-        small = (
-            linked.select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionByName(low.select("u", F.col("m").alias("v")))
-            .where("u <> v")
-            .distinct()
-        )
-        new = keep(small, "edges")
-        changed = new.exceptAll(e).limit(1).count() or new.count() != e.count()
-        forget(e)
-        e = new
-        if not changed:
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    star = e.groupBy("u").agg(F.min("v").alias("component_id")).select(F.col("u").alias("id"), "component_id")
-    roots = e.select(F.col("v").alias("id")).distinct().select("id", F.col("id").alias("component_id"))
-    return star.unionByName(roots)
