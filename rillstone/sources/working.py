@@ -18,10 +18,17 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def _place(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: lineage ends here and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    folder, files = _place(spark, path)
+    files.deleteOnExit(folder)  # when the driver ends, whatever it held here is of no more use
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._rillstone_path = path
@@ -32,9 +39,8 @@ def forget(df: DataFrame) -> None:
     """Delete a table that keep() wrote and that nothing reads any more."""
     path = getattr(df, "_rillstone_path", None)
     if path:
-        jvm = df.sparkSession._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+        folder, files = _place(df.sparkSession, path)
+        files.delete(folder, True)
 
 
 def sweep(spark: SparkSession) -> None:

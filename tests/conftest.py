@@ -7,17 +7,15 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     from pyspark.sql import SparkSession
 
-    shared = tmp_path_factory.mktemp("shared")
     s = (
         SparkSession.builder.master("local[4]")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", f"file://{shared}")
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
