@@ -92,3 +92,9 @@ def run_summary(df: DataFrame, keys: Sequence[str], run: str, at: str, value: st
     )
     nth = F.dense_rank().over(Window.partitionBy(*keys).orderBy("first_at"))
     return per.withColumn("label", F.concat(F.lit("L"), F.lpad(nth.cast("string"), 3, "0"))).drop(run)
+
+
+def mean_confidence(df: DataFrame, keys: Sequence[str], conf: str) -> DataFrame:
+    """Mean of the confidences that were given (0 and more), with how many there were."""
+    given = F.when(F.col(conf) >= 0, F.col(conf))
+    return df.groupBy(*keys).agg(F.round(F.avg(given), 1).alias("mean_conf"), F.count(given).alias("given"))

@@ -74,3 +74,19 @@ def best_by(df: DataFrame, group: str, score: Sequence[Column], fields: Sequence
 def manifest_upsert(state: DataFrame, news: DataFrame, key: str = "key") -> DataFrame:
     """(key, done, attempts): attempts add up, done stays done."""
     return state.unionByName(news).groupBy(key).agg(F.max("done").alias("done"), F.sum("attempts").alias("attempts"))
+
+
+def same_keys(a: DataFrame, b: DataFrame, key: str) -> bool:
+    """Whether two tables hold the same set of keys, as a cache must to stay valid."""
+    x, y = a.select(F.col(key)), b.select(F.col(key))
+    return not x.subtract(y).limit(1).count() and not y.subtract(x).limit(1).count()
+
+
+def header_to_detail(details: DataFrame, headers: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:
+    """Each page's header fields on all its rows; a row's own value stays where the header has none."""
+    h = headers.select(*keys, *[F.col(f).alias(f"_{f}") for f in fields])
+    out = details.join(h, list(keys), "left")
+    for f in fields:
+        own = F.col(f) if f in details.columns else F.lit(None)
+        out = out.withColumn(f, F.coalesce(F.col(f"_{f}"), own)).drop(f"_{f}")
+    return out

@@ -10,17 +10,26 @@ from pyspark.sql import functions as F
 from rillstone.sources.working import keep
 
 
-def ordinal(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
-    """Rows numbered from 1 over the whole table: ranks inside range partitions plus the counts before them.
+def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """Rows numbered from 1 within their keys (none: over the whole table), however frequent a key is.
 
-    The table is written once in range partitions, so the numbering never gathers it in one task.
+    The table is written once in range partitions of keys and order, so a frequent key spreads over many of
+    them; a row's number is its rank there plus the rows of its key in the partitions before.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    ranged = keep(df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()), "ordinal")
-    counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = counts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    inside = ranged.withColumn("_r", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
-    return inside.join(F.broadcast(before), "_part").withColumn(name, (F.col("_before") + F.col("_r")).cast("bigint")).drop("_part", "_r", "_before")
+    ranged = keep(df.repartitionByRange(parts, *keys, *order).withColumn("_part", F.spark_partition_id()), "ranked")
+    inside = ranged.withColumn("_r", F.row_number().over(Window.partitionBy("_part", *keys).orderBy(*order)))
+    counts = ranged.groupBy("_part", *keys).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(F.col("_part").alias("_p"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    same = F.col("_part") == F.col("_p")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return inside.join(before, same).withColumn(name, (F.col("_before") + F.col("_r")).cast("bigint")).select(*df.columns, name)
+
+
+def ordinal(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    return ranked(df, [], order, name)
 
 
 def batching(df: DataFrame, order: Sequence[str], size: int, name: str = "batch") -> DataFrame:
@@ -33,8 +42,9 @@ def adaptive_chunk(total: int, workers: int, most: int = 8) -> int:
 
 def running_suffix(df: DataFrame, key: str, order: str, name: str) -> DataFrame:
     """The key with how many of it came before, nothing for the first."""
-    n = F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1
-    return df.withColumn(name, F.when(n == 0, F.col(key)).otherwise(F.concat(F.col(key), F.lit(" "), n.cast("string"))))
+    n = F.col("_nth") - 1
+    d = ranked(df, [key], [order], "_nth")
+    return d.withColumn(name, F.when(n == 0, F.col(key)).otherwise(F.concat(F.col(key), F.lit(" "), n.cast("string")))).drop("_nth")
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
@@ -43,9 +53,15 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
 
 
 def collision_suffix(df: DataFrame, name: str, stem: str, order: str, out: str) -> DataFrame:
-    """The first claimant keeps a name, later ones get their stem behind it."""
-    n = F.row_number().over(Window.partitionBy(name).orderBy(order))
-    return df.withColumn(out, F.when(n > 1, F.concat(F.col(name), F.lit("__"), F.col(stem).cast("string"))).otherwise(F.col(name)))
+    """The first claimant keeps a name, later ones get their stem behind it; firsts are an aggregate, not a sort per name."""
+    first = df.groupBy(F.col(name).alias("_name")).agg(F.min(order).alias("_first"))
+    d = df.join(first, F.col(name).eqNullSafe(F.col("_name")))
+    return d.withColumn(out, F.when(F.col(order) > F.col("_first"), F.concat(F.col(name), F.lit("__"), F.col(stem).cast("string"))).otherwise(F.col(name))).drop("_name", "_first")
+
+
+def grid_order(df: DataFrame, page: str, y: Column, x: str, ident: str, name: str = "place") -> DataFrame:
+    """Reading order on a page: rows by a coarse y, then x."""
+    return ranked(df.withColumn("_y", y), [page], ["_y", x, ident], name).drop("_y")
 
 
 def islands(df: DataFrame, part: str, order: str, value: str, name: str = "run") -> DataFrame:

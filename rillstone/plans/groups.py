@@ -57,3 +57,8 @@ RUNS = "(select *, sum(far) over (partition by user_id, event_type order by even
 def run_summary(t):
     runs = sequences.gap_islands(t("events"), ["user_id", "event_type"], "event_id", 300)
     return groups.run_summary(runs, ["user_id", "event_type"], "run", "event_id", "props", "value", F.col("value") > 90)
+
+
+@query("select user_id, round(avg(value) filter (where value >= 0), 1) as mean_conf, count(value) filter (where value >= 0) as given from events group by user_id")
+def mean_confidence(t):
+    return groups.mean_confidence(t("events"), ["user_id"], "value")

@@ -135,3 +135,15 @@ def numeric_sort(t):
 def listing_keys(t):
     # file listings have no table of their own here; pages carry paths of the same shape
     return t("pages").select(F.regexp_extract("url", "([0-9]+)[^0-9]*$", 1).alias("stem"), "page_id")
+
+
+@query("select l_orderkey, l_linenumber, l_partkey, l_suppkey, o_orderdate, o_orderpriority from lineitem left join orders on o_orderkey = l_orderkey")
+def header_to_detail(t):
+    heads = t("orders").withColumnRenamed("o_orderkey", "l_orderkey")
+    rows = t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return joins.header_to_detail(rows, heads, ["l_orderkey"], ["o_orderdate", "o_orderpriority"])
+
+
+@query("select doc_id, 'line' as kind, i as no, ls[i] as body from (select doc_id, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x) <> '') as ls from documents), unnest(range(1, len(ls) + 1)) r(i) union all select doc_id, 'page', len(list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x) <> '')), null from documents")
+def expand_pages(t):
+    return io.expand_pages(t("documents"), "doc_id", "text")

@@ -69,10 +69,8 @@ def collision_suffix(t):
 
 @query("select p_partkey, row_number() over (partition by p_brand order by p_size // 10, p_retailprice, p_partkey) as place from part")
 def grid_order(t):
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("p_brand").orderBy(F.floor(F.col("p_size") / 10), "p_retailprice", "p_partkey")
-    return t("part").select("p_partkey", F.row_number().over(w).cast("bigint").alias("place"))
+    rows = t("part").select("p_partkey", "p_brand", "p_size", "p_retailprice")
+    return seq.grid_order(rows, "p_brand", F.floor(F.col("p_size") / 10), "p_retailprice", "p_partkey").select("p_partkey", "place")
 
 
 @query("select o_orderkey, (i // 12) as sheet, (i % 12) // 4 as grid_row, i % 4 as grid_col from (select o_orderkey, row_number() over (order by o_orderkey) - 1 as i from orders)")

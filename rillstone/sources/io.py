@@ -107,3 +107,11 @@ def read_pages(files: DataFrame, reader: PageReader) -> DataFrame:
             yield pd.DataFrame(out, columns=["path", "text", "error"])
 
     return files.select("path", "content").mapInPandas(run, "path string, text string, error string")
+
+
+def expand_pages(pages: DataFrame, page: str, text: str) -> DataFrame:
+    """Every page's lines as rows of kind 'line', and one row of kind 'page' with how many there were."""
+    lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: F.btrim(x) != "")
+    item = lambda kind, no, body: F.struct(F.lit(kind).alias("kind"), no.cast("bigint").alias("no"), body.cast("string").alias("body"))
+    rows = F.concat(F.transform(lines, lambda x, i: item("line", i + 1, x)), F.array(item("page", F.size(lines), F.lit(None))))
+    return pages.select(page, F.inline(rows))

@@ -226,3 +226,18 @@ def test_stuck(spark):
     d = frame(spark, [("a", False, 3), ("b", False, 1), ("c", True, 9)], "key string, done boolean, attempts long")
     assert [r["key"] for r in incremental.stuck(d).collect()] == ["a"]
     assert isinstance(d.toPandas(), pd.DataFrame)
+
+
+def test_ranked_within_frequent_keys(spark):
+    rows = [("hot" if i % 3 else None if i % 2 else "x", (i * 37) % 500) for i in range(500)]
+    got = sequences.ranked(frame(spark, rows, "k string, i int"), ["k"], ["i"], "n").collect()
+    for key in ("hot", None, "x"):
+        own = sorted((r["i"], r["n"]) for r in got if r["k"] == key)
+        assert [n for _, n in own] == list(range(1, len(own) + 1))
+
+
+def test_keys_and_headers(spark):
+    a, b = frame(spark, [(1,), (2,), (2,)], "k int"), frame(spark, [(2,), (1,)], "k int")
+    assert joins.same_keys(a, b, "k") and not joins.same_keys(a, b.where("k = 1"), "k")
+    out = joins.header_to_detail(frame(spark, [(1, "own"), (2, "own")], "p int, s string"), frame(spark, [(1, "head"), (2, None)], "p int, s string"), ["p"], ["s"])
+    assert sorted(map(tuple, out.collect())) == [(1, "head"), (2, "own")]
