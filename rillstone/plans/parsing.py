@@ -75,11 +75,24 @@ def field_accuracy(t):
     return rules.field_accuracy(read, truth, "p_partkey", {"p_name": "name_rate", "p_brand": "brand_rate"})
 
 
-@query()
+OPENING = "(?:The|To|De|En|Un|La|Der)(?: .*)?"
+
+#: A field ends up as the lines of its last labelled line, up to the next labelled one.
+FOLDED = f"""
+with l as (select doc_id, i, trim(ls[i]) as x from (select doc_id, string_split(text, chr(10)) as ls from documents), unnest(range(1, len(ls) + 1)) r(i)),
+k as (select *, case when regexp_matches(x, '^(.* [|] .*)$') then 'table' when regexp_matches(x, '^({OPENING})$') then 'opening' end as kind from l),
+g as (select *, count(kind) over (partition by doc_id order by i) as grp from k),
+e as (select doc_id, kind, max(grp) as grp from g where kind is not null group by all),
+v as (select g.doc_id, e.kind, string_agg(x, ' ' order by i) filter (where x <> '') as val from g join e on g.doc_id = e.doc_id and g.grp = e.grp group by all)
+select d.doc_id, coalesce(max(val) filter (where kind = 'table'), '') as table_text, coalesce(max(val) filter (where kind = 'opening'), '') as opening_text from documents d left join v on v.doc_id = d.doc_id group by d.doc_id
+"""
+
+
+@query(FOLDED)
 def line_fold(t):
     # documents have no labels of their own: a short opening word and a bar make two kinds of line
     lines = F.split("text", "\n")
-    out = parse.line_fold(lines, [("table", r"^(.* \| .*)$"), ("opening", r"^((?:The|To|De|En|Un|La|Der)\b.*)$")])
+    out = parse.line_fold(lines, [("table", "^(.* [|] .*)$"), ("opening", f"^({OPENING})$")])
     return t("documents").select("doc_id", out["table"].alias("table_text"), out["opening"].alias("opening_text"))
 
 
