@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillstone.operators.joins import small
+
 from .shared import keep
 
 #: Documents that a key range holds on average.
@@ -54,23 +56,24 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), limit:
     mean = F.col("chars") / F.greatest(F.col("size"), F.lit(1))
     quality = 1.0 / (1.0 + F.abs(mean - 6.0) / 6.0)
     u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id")), 11) + 0.5) * F.lit(2.0**-53)
-    d = d.select("doc_id", "source", "size", (-F.log(u) / quality).alias("key"))
+    d = d.select("doc_id", "source", "size", (-F.log(u) / quality).alias("key"), quality.alias("quality"))
     d = keep(d, "mix")  # small rows; the texts are read once
-    per = d.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
+    per = d.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"), F.avg("quality").alias("scale"))
     plan = target_words(per, weights, limit)
     plan = plan.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + 1e-12)).otherwise(0).cast("long"))
     plan = plan.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")).withColumn("ranges", F.ceil(F.col("rows") / RANGE_ROWS))
-    # one row a source: the sources of a corpus are a short list
-    p = plan.select(F.col("source").alias("s"), "source_size", "target", "epochs", "rest", "ranges")
-    d = d.join(p, F.col("source").eqNullSafe(F.col("s")), "inner").drop("s")
-    # 1 - exp(-key) is nearly uniform for weights near 1, so ranges of it hold nearly as many rows each
-    d = d.withColumn("range", F.least(F.floor((1 - F.exp(-F.col("key"))) * F.col("ranges")), F.col("ranges") - 1).cast("long"))
+    # one row a source: broadcast if their number is checked to be small, else joined as the optimizer sees fit
+    p = keep(plan.select(F.col("source").alias("s"), "source_size", "target", "epochs", "rest", "ranges", "scale"), "targets")
+    d = d.join(small(p), F.col("source").eqNullSafe(F.col("s")), "inner").drop("s", "quality")
+    # for documents of the source's mean weight this is uniform, so ranges hold nearly as many rows each
+    d = d.withColumn("range", F.least(F.floor((1 - F.exp(-F.col("key") * F.col("scale"))) * F.col("ranges")), F.col("ranges") - 1).cast("long"))
     sums = d.groupBy("source", "range", "rest").agg(F.sum("size").alias("words"))
     upto = F.sum("words").over(Window.partitionBy("source").orderBy("range"))
     sums = sums.withColumn("end", upto).withColumn("begin", F.col("end") - F.col("words"))
+    sums = keep(sums, "ranges")
     edge = sums.where("begin < rest and end > rest").select(F.col("source").alias("s"), F.col("range").alias("edge"), "begin")
     whole = sums.where("end <= rest").groupBy(F.col("source").alias("s2")).agg(F.max("range").alias("whole"))
-    d = d.join(edge, F.col("source").eqNullSafe(F.col("s")), "left").drop("s").join(whole, F.col("source").eqNullSafe(F.col("s2")), "left").drop("s2")
+    d = d.join(small(edge), F.col("source").eqNullSafe(F.col("s")), "left").drop("s").join(small(whole), F.col("source").eqNullSafe(F.col("s2")), "left").drop("s2")
     last = F.col("range") == F.col("edge")
     inside = d.where(last).withColumn("sum", F.col("begin") + F.sum("size").over(Window.partitionBy("source", "range").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)))
     # the document that the budget ends in comes along if most of it lies inside
