@@ -4,7 +4,7 @@ Documents of equal text form a group that no cut may part. Groups are ordered by
 their text; the leading bits name one of `UNITS` atomic units, so the array of unit sizes has a fixed
 length whatever the corpus holds. A binary search over the shard capacity, each step a greedy fill of
 the ordered units, finds the smallest capacity that needs no more than the wanted number of shards;
-the greedy fill at that capacity gives the cuts.
+the cuts keep to that capacity, and as near to equal shares as it allows.
 """
 
 from __future__ import annotations
@@ -44,14 +44,30 @@ def _plan(units: DataFrame, shards: int) -> DataFrame:
         return F.when(a["lo"] >= a["hi"], a).otherwise(F.struct(F.when(ok, a["lo"]).otherwise(mid + 1).alias("lo"), F.when(ok, mid).otherwise(a["hi"]).alias("hi")))
 
     row = row.withColumn("cap", F.aggregate(F.sequence(F.lit(1), F.lit(48)), F.struct("lo", "hi"), halve, lambda a: a["hi"]))
-    # the capacity rides in the accumulator: named in the lambda it would be searched anew for each unit
-    begin = F.struct(F.col("cap").alias("cap"), F.lit(0).cast("long").alias("used"), F.array().cast("array<int>").alias("at"))
+    # what the lambdas need rides in their accumulators: a column named there would be computed anew for each unit
+    none = F.array().cast("array<int>")
 
-    # cut points only: the first unit of each further shard
-    def cut(a: Column, x: Column) -> Column:
+    def from_the_end(a: Column, x: Column) -> Column:
         fits = a["used"] + x["bytes"] <= a["cap"]
-        return F.when(fits, F.struct(a["cap"].alias("cap"), (a["used"] + x["bytes"]).alias("used"), a["at"].alias("at"))).otherwise(
-            F.struct(a["cap"].alias("cap"), x["bytes"].alias("used"), F.concat(a["at"], F.array(x["unit"].cast("int"))).alias("at"))
+        return F.when(fits, F.struct(a["cap"].alias("cap"), (a["used"] + x["bytes"]).alias("used"), x["unit"].cast("int").alias("at"), a["starts"].alias("starts"))).otherwise(
+            F.struct(a["cap"].alias("cap"), x["bytes"].alias("used"), x["unit"].cast("int").alias("at"), F.concat(a["starts"], F.array(a["at"])).alias("starts"))
+        )
+
+    # the first unit from which 1, 2, ... shards of that capacity hold all the rest
+    start = F.struct(F.col("cap").alias("cap"), F.lit(0).cast("long").alias("used"), F.lit(0).alias("at"), none.alias("starts"))
+    row = row.withColumn("starts", F.aggregate(F.reverse("u"), start, from_the_end, lambda a: F.concat(a["starts"], F.array(a["at"]))))
+    fair = F.col("total") / shards
+    begin = F.struct(F.col("cap").alias("cap"), fair.alias("fair"), F.col("starts").alias("starts"), F.lit(0).cast("long").alias("used"), F.lit(0).cast("long").alias("all"), none.alias("at"))
+
+    # cut where the capacity forces it, or at the unit nearest to an equal share if the rest still fits behind it
+    def cut(a: Column, x: Column) -> Column:
+        n = F.size(a["at"]) + 1
+        rest_fits = (F.lit(shards) - n >= F.size(a["starts"])) | (x["unit"] >= F.coalesce(F.get(a["starts"], F.lit(shards) - n - 1), F.lit(UNITS)))
+        even = (n < shards) & (a["used"] > 0) & (a["all"] + x["bytes"] / 2 > a["fair"] * n) & rest_fits
+        new = (a["used"] + x["bytes"] > a["cap"]) | even
+        same = (a["cap"].alias("cap"), a["fair"].alias("fair"), a["starts"].alias("starts"))
+        return F.when(new, F.struct(*same, x["bytes"].alias("used"), (a["all"] + x["bytes"]).alias("all"), F.concat(a["at"], F.array(x["unit"].cast("int"))).alias("at"))).otherwise(
+            F.struct(*same, (a["used"] + x["bytes"]).alias("used"), (a["all"] + x["bytes"]).alias("all"), a["at"].alias("at"))
         )
 
     cuts = row.select("u", F.aggregate("u", begin, cut, lambda a: a["at"]).alias("at"))
