@@ -66,13 +66,13 @@ def raw_column(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf, offs
 
 
-def slices(col: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Runs of rows of about `most` bytes (a longer text is a run of its own): first row, last row + 1, bytes, offsets from 0."""
+def slices(col: pa.Array, most: int = 1 << 20, rows: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Runs of at most `rows` rows and about `most` bytes (a longer text is a run of its own): first row, last row + 1, bytes, offsets from 0."""
     buf, offs = raw_column(col)
     i, n = 0, len(offs) - 1
     while i < n:
         j = max(i + 1, int(np.searchsorted(offs, offs[i] + most, "right")) - 1)
-        j = min(j, n)
+        j = min(j, n, i + rows)
         yield i, j, buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
         i = j
 

@@ -15,6 +15,10 @@ from .samples import remainder
 
 #: Hashed features; texts of each language that the fit reads at most; languages, the most frequent first.
 DIMS, SAMPLE_ROWS, MOST_LANGUAGES = 1 << 13, 800, 64
+#: Texts that the fit reads in all, so that their features fit the driver; fewer of each language if there are many.
+MOST_TEXTS = 4000
+#: Texts whose features are held at once, however short they are.
+ROWS = 256
 # Language families of ISO 639-1 codes.
 FAMILIES = {
     "germanic": ("af", "da", "de", "en", "fy", "is", "lb", "nl", "nb", "nn", "no", "sv", "yi"),
@@ -86,7 +90,9 @@ class Languages:
 
     def __init__(self, texts: list[str], langs: list[str]):
         self.names = sorted(set(langs))
-        x = np.vstack([features(buf, offs) for _, _, buf, offs in slices(pa.array(texts, pa.string()), 1 << 19)]) if texts else np.zeros((0, DIMS))
+        x = np.empty((len(texts), DIMS), np.float32)
+        for i, j, buf, offs in slices(pa.array(texts, pa.string()), 1 << 18, ROWS):
+            x[i:j] = features(buf, offs)
         lang, fam = np.array(langs, object), np.array([family(v) for v in langs], object)
         self.families = sorted(set(fam))
         self.members = [[i for i, v in enumerate(self.names) if family(v) == f] for f in self.families]
@@ -139,7 +145,7 @@ def has_letter(col: pa.Array) -> np.ndarray:
 def identify(docs: DataFrame, learn_from: DataFrame | None = None, may_learn: Column | None = None, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", carry: tuple[str, ...] = ()) -> DataFrame:
     """The carried columns (by default the id and held_out) with lang_pred and score (0 to 1) of every whole text.
 
-    Learns from at most `sample_rows` texts of each of the `MOST_LANGUAGES` most frequent languages, rows
+    Learns from about `sample_rows` texts (`MOST_TEXTS` in all) of the `MOST_LANGUAGES` most frequent languages, rows
     whose crc32(id) mod 4 is not 2 and whose text and lang are not null. Null texts and texts without a
     letter are `und` with score 0; so is everything if there is nothing to learn from. Repeated rows are
     judged each, empty tables give empty results.
@@ -148,6 +154,7 @@ def identify(docs: DataFrame, learn_from: DataFrame | None = None, may_learn: Co
     usable = F.coalesce(remainder(id_col, 4) != 2, F.lit(False)) if may_learn is None else may_learn
     rows = source.where(usable & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     counts = rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(MOST_LANGUAGES).collect()
+    sample_rows = max(1, min(sample_rows, MOST_TEXTS // max(1, len(counts))))
     # rows whose hashed id is under their language's share: one scan, about sample_rows of each language
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(17), id_col), 11) * F.lit(2.0**-53)
     share = F.lit(0.0)
@@ -164,7 +171,7 @@ def identify(docs: DataFrame, learn_from: DataFrame | None = None, may_learn: Co
             col = batch.column(0)
             pick, score = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
             if m is not None:
-                for i, j, buf, offs in slices(col, 1 << 18):
+                for i, j, buf, offs in slices(col, 1 << 18, ROWS):
                     pick[i:j], score[i:j] = m.predict(buf, offs)
             ok = has_letter(col) & (m is not None)
             names = pa.array([*(m.names if m is not None else []), "und"], pa.string())

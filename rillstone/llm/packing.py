@@ -42,8 +42,8 @@ class WordTokens:
 
     def forget(self) -> None:
         self.known = np.zeros(0, np.uint64)
-        self.at = np.zeros(0, np.int64)
-        self.count = np.zeros(0, np.int64)
+        self.at = np.zeros(0, np.uint32)
+        self.count = np.zeros(0, np.uint32)
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
 
     def tokens_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -87,9 +87,9 @@ class WordTokens:
             self.used += len(flat)
             spot = np.searchsorted(self.known, own[new])
             self.known = np.insert(self.known, spot, own[new])
-            self.at, self.count = np.insert(self.at, spot, at), np.insert(self.count, spot, count)
+            self.at, self.count = np.insert(self.at, spot, at.astype(np.uint32)), np.insert(self.count, spot, count.astype(np.uint32))
             spot = np.searchsorted(self.known, own)
-        at, count = self.at[spot][inverse], self.count[spot][inverse]
+        at, count = self.at[spot].astype(np.int64)[inverse], self.count[spot].astype(np.int64)[inverse]
         total = np.concatenate([[0], np.cumsum(count)])
         n_docs = len(offs) - 1
         doc_at = total[first] + np.arange(n_docs + 1)
@@ -170,7 +170,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, tokens: int = 2048, doc
         part = TaskContext.get().partitionId()
         seen = np.zeros(tokens + 1, np.int64)
         for batch in batches:
-            for i, j, buf, offs in slices(batch.column(1), 1 << 21):
+            for i, j, buf, offs in slices(batch.column(1), 1 << 20):
                 ids, at = tok.encode(buf, offs, end_id)
                 n = np.diff(at)
                 pieces = -(-n // tokens)

@@ -389,3 +389,23 @@ def test_pipeline(spark):
     packed = p.STAGES[-1][1](spark, extra, SF)
     assert packed.select("doc_id").distinct().count() == extra.select("doc_id").distinct().count()
     assert extra.where(F.col("doc_id") >= 10**6).count() == 0
+
+
+def test_pipeline_stages_on_odd_rows(spark):
+    import corpus_pipeline as p
+
+    r = random.Random(8)
+    rows = [(i, prose(r, 40), None, None, None) for i in range(20)] + [(None, prose(r, 30), "en", "s", 1), (None, prose(r, 30), None, None, None), (3, None, None, None, None), (40, "", "en", "s", 0)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    empty = d.where("false")
+    learn = table(spark, "documents").limit(200)
+    both = learn.unionByName(d.withColumn("doc_id", F.col("doc_id") + 10**6))
+    for name, stage in p.STAGES[:-1]:
+        assert stage(spark, empty, SF).count() == 0, name
+    assert p.STAGES[-1][1](spark, empty, SF).count() == 0
+    first = p.STAGES[0][1](spark, both, SF).where("doc_id is null or doc_id >= 1000000")
+    assert first.count() == 22
+    second = p.STAGES[1][1](spark, d, SF)
+    assert second.where("doc_id is null").count() == 2 and second.count() == 23
+    assert p.STAGES[2][1](spark, d, SF).where("doc_id is null").count() == 2
+    assert p.STAGES[3][1](spark, d, SF).count() >= 1
