@@ -33,7 +33,9 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     docs = docs.select(*COLUMNS)
     gone = near_duplicates(docs).where("not kept").select("doc_id").distinct()
     left = docs.join(gone, "doc_id", "left_anti")
-    return left.dropDuplicates(["doc_id"]).select(*COLUMNS)
+    # repeated rows of an id are one document; rows without an id are documents of their own
+    own = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    return left.withColumn("_own", own).dropDuplicates(["doc_id", "_own"]).select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,10 +47,9 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as many times as the mix takes it."""
     docs = docs.select(*COLUMNS)
-    copies = keep(mix_documents(docs).where("copies > 0").select("doc_id", "copies"), "copies")
-    # without a skewed key: ids are unique after the near-duplicate stage
-    out = docs.join(copies, "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return out.select(*COLUMNS)
+    taken = mix_documents(docs).where("copies > 0").groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies"))
+    out = docs.join(keep(taken, "copies"), F.col("doc_id").eqNullSafe(F.col("_id")))
+    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
