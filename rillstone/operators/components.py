@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from rillstone.sources.working import forget, keep
 
 
+def _signature(e: DataFrame) -> tuple:
+    """Equal for equal sets of edges: their number and the XOR of their hashes."""
+    return tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of edges (a, b): rows (id, component_id), component_id the smallest reachable id.
 
@@ -21,30 +26,24 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         .distinct()
     )
     e = keep(e, "edges")
-    for _ in range(max_rounds):
+    before = _signature(e)
+    for _ in range(max_rounds if before[0] else 0):
         # large star: neighbours larger than u go to u's smallest neighbour (or u itself)
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (
-            both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        )
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         # small star: each node's smaller neighbours, and the node, go to the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        linked = large.join(low, "u")
-        small = (
-            linked.select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionByName(low.select("u", F.col("m").alias("v")))
-            .where("u <> v")
-            .distinct()
-        )
+        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         new = keep(small, "edges")
-        changed = new.exceptAll(e).limit(1).count() or new.count() != e.count()
         forget(e)
-        e = new
-        if not changed:
+        e, after = new, _signature(new)
+        if after == before:
             break
+        before = after
     else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        if before[0]:
+            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     star = e.groupBy("u").agg(F.min("v").alias("component_id")).select(F.col("u").alias("id"), "component_id")
     roots = e.select(F.col("v").alias("id")).distinct().select("id", F.col("id").alias("component_id"))
     return star.unionByName(roots)
