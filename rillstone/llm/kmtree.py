@@ -21,8 +21,8 @@ from .vectors import dimensions, matrix, sample
 
 #: Vectors that the tree is fitted on; children of a node; sample vectors of a leaf; queries that calibrate.
 SAMPLE_ROWS, BRANCH, LEAF, TRIALS = 8192, 8, 96, 256
-#: Vectors compared together; a larger leaf is several blocks.
-BLOCK = 2048
+#: Vectors compared together, and queries with them; a larger leaf is several blocks, more queries are several chunks.
+BLOCK, CHUNK = 2048, 16_384
 
 
 class Tree:
@@ -154,7 +154,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0
     first = np.concatenate([[0], np.cumsum(blocks)])
     of_leaf = F.create_map(*[c for leaf in range(tree.leaves) for c in (F.lit(leaf), F.struct(F.lit(int(first[leaf])).alias("first"), F.lit(int(blocks[leaf])).alias("n")))])
     mine = F.element_at(of_leaf, F.col("leaf").cast("int"))
-    candidates = placed.select((mine["first"] + F.pmod(F.xxhash64("vec_id"), mine["n"])).cast("int").alias("block"), "vec_id", "x")
+    chunks = max(1, -(-placed.where("ask").count() // CHUNK))
+    block = (mine["first"] + F.pmod(F.xxhash64("vec_id"), mine["n"])).cast("long") * chunks
+    candidates = placed.select(F.explode(F.sequence(block, block + F.lit(chunks - 1).cast("long"))).alias("block"), "vec_id", "x")
 
     def asks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = shared.value
@@ -171,13 +173,14 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0
                 n = blocks[leaf]
                 block = np.repeat(first[leaf] - np.cumsum(n) + n, n) + np.arange(n.sum())
                 row = np.repeat(row, n)
+                block = block * chunks + (ids[row].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % chunks
                 sort = np.argsort(block, kind="stable")
                 row, block = row[sort], block[sort]
                 cut = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1, [len(block)]]) if len(block) else np.zeros(1, int)
                 spans = list(zip(cut[:-1], cut[1:], strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(block[cut[:-1]].astype(np.int32)), pa.array([ids[row[a:b]].tobytes() for a, b in spans], pa.binary()), pa.array([q[row[a:b]].tobytes() for a, b in spans], pa.binary())], ["block", "ids", "qs"])
+                yield pa.RecordBatch.from_arrays([pa.array(block[cut[:-1]].astype(np.int64)), pa.array([ids[row[a:b]].tobytes() for a, b in spans], pa.binary()), pa.array([q[row[a:b]].tobytes() for a, b in spans], pa.binary())], ["block", "ids", "qs"])
 
-    asked = placed.where("ask").select("vec_id", "x").mapInArrow(asks, "block int, ids binary, qs binary")
+    asked = placed.where("ask").select("vec_id", "x").mapInArrow(asks, "block long, ids binary, qs binary")
 
     def compare(own: pa.Table, asking: pa.Table) -> pa.Table:
         ids = own["vec_id"].to_numpy()

@@ -409,3 +409,16 @@ def test_pipeline_stages_on_odd_rows(spark):
     assert second.where("doc_id is null").count() == 2 and second.count() == 23
     assert p.STAGES[2][1](spark, d, SF).where("doc_id is null").count() == 2
     assert p.STAGES[3][1](spark, d, SF).count() >= 1
+
+
+def test_nearest_in_several_chunks(spark, monkeypatch):
+    from rillstone.llm import kmtree
+
+    r = np.random.default_rng(6)
+    rows = [(i, [float(np.float32(v)) for v in r.normal(size=8)], 0, 0, "") for i in range(400)]
+    whole = kmtree.nearest(vectors(spark, rows), F.col("vec_id") % 4 == 0, k=5).collect()
+    monkeypatch.setattr(kmtree, "CHUNK", 30)
+    monkeypatch.setattr(kmtree, "BLOCK", 40)
+    parted = kmtree.nearest(vectors(spark, rows), F.col("vec_id") % 4 == 0, k=5).collect()
+    key = lambda rs: sorted((x["query_id"], x["rank"], x["vec_id"], round(x["score"], 9)) for x in rs)
+    assert key(whole) == key(parted)
