@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rillstone.plans import folds, groups, links, parsing, relations, sequences, strings  # noqa: F401
+from rillstone.plans import folds, groups, links, parsing, relations, sequences, streams, strings  # noqa: F401
 from rillstone.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
