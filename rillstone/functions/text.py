@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 SCRIPT_DIGITS, PLAIN_DIGITS = "०१२३४५६७८९", "0123456789"
 GLYPHS, GLYPH_DIGITS = "OoDQIl|/SBZ", "00001117582"
 ZONE_DIGITS, ZONE_LETTERS = "0125867", "OIZSBGY"
+# What is stripped at the ends of names and of values, and glyphs that stand for I or l.
+NAME_ENDS, VALUE_ENDS, BARS = " -–:।", " :;.।|_=+*?¢~`'\"-", r"[|!\[\]]"
 
 
 def collapse(c: Column) -> Column:
@@ -28,12 +30,12 @@ def first_last(c: Column) -> Column:
     return F.when(F.size(t) >= 2, F.struct(F.element_at(t, 1).alias("first"), F.element_at(t, -1).alias("last")))
 
 
-def strip_charset(c: Column, chars: str = " -–:।") -> Column:
+def strip_charset(c: Column, chars: str = NAME_ENDS) -> Column:
     """Foreign digits become plain ones, white space collapses, `chars` go at both ends."""
     return F.btrim(collapse(F.translate(c, SCRIPT_DIGITS, PLAIN_DIGITS)), F.lit(chars))
 
 
-def clean_value(c: Column, noise: str = " :;.।|_=+*?¢~`'\"-") -> Column:
+def clean_value(c: Column, noise: str = VALUE_ENDS) -> Column:
     """Noise glyphs go at both ends; if nothing is left, a dash that was there stays."""
     stripped = F.btrim(collapse(F.coalesce(c, F.lit(""))), F.lit(noise))
     return F.when((stripped == "") & F.contains(c, F.lit("-")), F.lit("-")).otherwise(stripped)
@@ -66,7 +68,7 @@ def positional_repair(c: Column, head: int = 3) -> Column:
     return F.when(F.char_length(c) <= head, c).otherwise(fixed)
 
 
-def word_transform(c: Column, bars: str = r"[|!\[\]]") -> Column:
+def word_transform(c: Column, bars: str = BARS) -> Column:
     """Bar-like glyphs in a word become I if its letters are all upper case, else l."""
 
     def word(w: Column) -> Column:

@@ -17,27 +17,81 @@ def _places(t):
     return t("events").select("event_id", "user_id", kind.alias("kind"), ward.cast("string").alias("ward"), "value")
 
 
+#: The same folds with equality instead of similarity, which SQL can express by recursion along the order.
+PLACES = "select event_id, user_id, case when event_id % 7 = 0 then null when event_id % 11 = 0 then event_type || 's' else event_type end as kind, case when event_id % 5 = 0 then null else 'ward ' || ((event_id // 40) % 4) end as ward from events"
+OK = "((f.ak = '' or x.kind is null or f.ak = x.kind) and (f.aw = '' or x.ward is null or f.aw = x.ward))"
+ANCHORED = f"""
+with recursive x as materialized (select *, row_number() over (partition by user_id order by event_id) as i from ({PLACES})),
+f as (
+  select user_id, event_id, kind, ward, i, coalesce(kind, '') as ak, coalesce(ward, '') as aw, 1 as run from x where i = 1
+  union all
+  select x.user_id, x.event_id, x.kind, x.ward, x.i,
+    case when {OK} and f.ak <> '' then f.ak else coalesce(x.kind, '') end, case when {OK} and f.aw <> '' then f.aw else coalesce(x.ward, '') end, case when {OK} then f.run else f.run + 1 end
+  from f join x on x.user_id = f.user_id and x.i = f.i + 1
+), runs as materialized (
+  select user_id, run, min(event_id) as first, max(event_id) as last, coalesce(arg_min(kind, event_id) filter (where kind is not null), '') as kind, coalesce(arg_min(ward, event_id) filter (where ward is not null), '') as ward, count(*) as size from f group by user_id, run
+)
+"""
+
+
 @query()
-def anchor_runs(t):
+def anchor_runs_fuzzy(t):
     return folds.anchor_runs(_places(t), "user_id", "event_id", ["kind", "ward"]).select("event_id", "user_id", "run")
 
 
+@query(ANCHORED + "select event_id, user_id, run from f")
+def anchor_runs(t):
+    return folds.anchor_runs(_places(t), "user_id", "event_id", ["kind", "ward"], threshold=1.0).select("event_id", "user_id", "run")
+
+
 def _runs(t):
-    runs = folds.anchor_runs(_places(t), "user_id", "event_id", ["kind", "ward"])
-    return runs.groupBy("user_id", "run").agg(F.min("event_id").alias("first"), F.max("event_id").alias("last"), F.min_by("kind", F.when(F.col("kind").isNotNull(), F.col("event_id"))).alias("kind"), F.min_by("ward", F.when(F.col("ward").isNotNull(), F.col("event_id"))).alias("ward"), F.sum(F.lit(1)).alias("size"))
+    runs = folds.anchor_runs(_places(t), "user_id", "event_id", ["kind", "ward"], threshold=1.0)
+    return runs.groupBy("user_id", "run").agg(
+        F.min("event_id").alias("first"),
+        F.max("event_id").alias("last"),
+        F.min_by("kind", F.when(F.col("kind").isNotNull(), F.col("event_id"))).alias("kind"),
+        F.min_by("ward", F.when(F.col("ward").isNotNull(), F.col("event_id"))).alias("ward"),
+        F.count(F.lit(1)).alias("size"),
+    )
 
 
-@query()
+@query(ANCHORED + "select user_id, run, dense_rank() over (partition by user_id order by head) as club from (select *, case when ward = '' then first else min(first) over (partition by user_id, kind, ward) end as head from runs)")
 def club_runs(t):
-    return folds.club_runs(_runs(t), "user_id", "first", ["kind"], ["ward"]).select("user_id", "run", "club")
+    return folds.club_runs(_runs(t), "user_id", "first", ["kind"], ["ward"], threshold=1.0).select("user_id", "run", "club")
 
 
-@query()
+NEAR = "(y.kind <> '' and y.first - m.last - 1 <= 20 and m.held + y.size <= 50)"
+
+
+@query(
+    ANCHORED
+    + f""", y as materialized (select *, row_number() over (partition by user_id, kind order by first) as j from runs),
+m as (
+  select user_id, kind, run, j, last, size as held, first as head from y where j = 1
+  union all
+  select y.user_id, y.kind, y.run, y.j, y.last, case when {NEAR} then m.held + y.size else y.size end, case when {NEAR} then m.head else y.first end
+  from m join y on y.user_id = m.user_id and y.kind = m.kind and y.j = m.j + 1
+)
+select user_id, run, dense_rank() over (partition by user_id order by head) as merged from m"""
+)
 def merge_runs(t):
     return folds.merge_gaps(_runs(t), "user_id", "first", "kind", "first", "last", "size", 20, 50).select("user_id", "run", "merged")
 
 
-@query()
+JOINS = "(y.ward <> '' and y.ward = m.ward and (m.held < 5 or y.size < 5) and m.held + y.size <= 40)"
+
+
+@query(
+    ANCHORED
+    + f""", y as materialized (select *, row_number() over (partition by user_id order by first) as j from runs),
+m as (
+  select user_id, run, j, ward, size as held, 1 as joined from y where j = 1
+  union all
+  select y.user_id, y.run, y.j, y.ward, case when {JOINS} then m.held + y.size else y.size end, case when {JOINS} then m.joined else m.joined + 1 end
+  from m join y on y.user_id = m.user_id and y.j = m.j + 1
+)
+select user_id, run, joined from m"""
+)
 def coalesce_small(t):
     return folds.coalesce_small(_runs(t).withColumn("size", F.col("size").cast("double")), "user_id", "first", "size", "ward", 5, 40).select("user_id", "run", "joined")
 
