@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .kernels import LOWER, U, mix, prefix_hash, slices, span_hash, words
-from .samples import remainder
+from .samples import remainder, within
 
 #: Hashed features; texts of each language that the fit reads at most; languages, the most frequent first.
 DIMS, SAMPLE_ROWS, MOST_LANGUAGES = 1 << 13, 800, 64
@@ -160,8 +160,8 @@ def identify(docs: DataFrame, learn_from: DataFrame | None = None, may_learn: Co
     share = F.lit(0.0)
     for r in counts:
         share = F.when(F.col(lang_col) == r[0], F.lit(sample_rows / r["count"])).otherwise(share)
-    found = rows.where(draw < share).select(F.xxhash64(id_col).alias("h"), F.col(lang_col).alias("l"), F.col(text_col).alias("t"))
-    got = sorted(tuple(r) for r in found.limit(2 * sample_rows * max(1, len(counts))).collect())
+    found = rows.where(draw < share).select(F.xxhash64(id_col).alias("h"), F.col(lang_col).alias("label"), F.col(text_col).alias("text"))
+    got = within(found, 2 * sample_rows * max(1, len(counts)))
     texts, langs = [r[2] for r in got], [r[1] for r in got]
     model = docs.sparkSession.sparkContext.broadcast(Languages(texts, langs) if texts else None)
 

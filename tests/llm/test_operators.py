@@ -422,3 +422,13 @@ def test_nearest_in_several_chunks(spark, monkeypatch):
     parted = kmtree.nearest(vectors(spark, rows), F.col("vec_id") % 4 == 0, k=5).collect()
     key = lambda rs: sorted((x["query_id"], x["rank"], x["vec_id"], round(x["score"], 9)) for x in rs)
     assert key(whole) == key(parted)
+
+
+def test_samples_keep_within_bytes(spark):
+    from rillstone.llm.samples import within
+
+    d = spark.createDataFrame([(h, h % 2, "x" * 10) for h in range(50)], "h long, label int, text string")
+    assert [r[0] for r in within(d, 1000, 95)] == list(range(9))
+    assert len(within(d, 1000)) == 50
+    assert len(within(d, 1000, 1)) == 1
+    assert within(d.where("false"), 10) == []
