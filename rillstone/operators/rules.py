@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def parse_rule(rule: str, conf: str = "conf", flags: str = "flags", differs: str = "differs") -> Column:
+def parse_rule(rule: str, conf: str = "conf", flags: str = "flags", differs: str = "differs", numeric: bool = False) -> Column:
     """A comma list of terms, any of which selects a row: conf<N, flags:TEXT (substring), disagree, all.
 
-    A blank or non-numeric confidence counts as 0 and is selected. Unknown terms raise at once.
+    A blank or non-numeric confidence counts as 0 and is selected. Unknown terms raise at once. With `numeric` the
+    confidence is a number already, and its comparison reaches the scan.
     """
     terms = []
     for term in (x.strip() for x in rule.split(",") if x.strip()):
@@ -20,9 +21,13 @@ def parse_rule(rule: str, conf: str = "conf", flags: str = "flags", differs: str
         elif term == "disagree":
             terms.append(F.coalesce(F.col(differs).cast("boolean"), F.lit(False)))
         elif term.startswith("flags:") and term[6:]:
-            terms.append(F.coalesce(F.contains(F.col(flags), F.lit(term[6:])), F.lit(False)))
+            terms.append(F.col(flags).contains(term[6:]) & F.col(flags).isNotNull())
         elif term.startswith("conf<"):
-            terms.append(F.coalesce(F.col(conf).cast("string").try_cast("double"), F.lit(0.0)) < float(term[5:]))
+            n = float(term[5:])
+            if numeric:
+                terms.append((F.col(conf) < n) | F.col(conf).isNull() if n > 0 else F.col(conf) < n)
+            else:
+                terms.append(F.coalesce(F.col(conf).cast("string").try_cast("double"), F.lit(0.0)) < n)
         else:
             raise ValueError(f"unknown term {term!r} in rule {rule!r}")
     if not terms:

@@ -98,5 +98,4 @@ def line_fold(t):
 
 @query("select event_id, event_type, value from events where (value is null or value < 20 or contains(event_type, 'err')) and (event_type <> '' or props <> '')")
 def rule_filter(t):
-    e = t("events").withColumn("kind", F.col("event_type"))
-    return e.where(rules.parse_rule("conf<20,flags:err", conf="value", flags="kind")).where((F.col("event_type") != "") | (F.col("props") != "")).select("event_id", "event_type", "value")
+    return t("events").where(rules.parse_rule("conf<20,flags:err", conf="value", flags="event_type", numeric=True)).where((F.col("event_type") != "") | (F.col("props") != "")).select("event_id", "event_type", "value")
