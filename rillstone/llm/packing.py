@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .kernels import prefix_hash, slices, span_hash, words
+from .kernels import LOWER, prefix_hash, slices, span_hash, words
 from .shared import keep
 
 #: Words whose ids a Python worker remembers.
@@ -29,6 +29,26 @@ CACHE_WORDS = 2_500_000
 MARK = "\x1f"
 
 
+_SIGN = np.zeros(256, bool)
+_SIGN[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"]] = True
+_PLAIN = np.zeros(256, bool)
+_PLAIN[[c for c in range(48, 123) if chr(c).isalnum()]] = True
+
+
+def units(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words, and apart from them the ASCII signs that end them behind an ASCII letter or digit: fewer different ones.
+
+    The tokenizer always parts there; an apostrophe, which may open a suffix of its own, stays with its word.
+    """
+    starts, ends, first = words(buf, offs)
+    if not len(starts):
+        return starts, ends, first
+    last = np.maximum.accumulate(np.where(_SIGN[buf], -1, np.arange(len(buf))))[ends - 1]  # last byte that is no sign
+    cut = np.flatnonzero((last >= starts) & (last < ends - 1) & _PLAIN[buf[last]])
+    starts, ends = np.sort(np.concatenate([starts, last[cut] + 1])), np.sort(np.concatenate([ends, last[cut] + 1]))
+    return starts, ends, np.searchsorted(starts, offs)
+
+
 class WordTokens:
     """Token ids by word, for tokenizers that never join across ASCII white space; remembers words by hash."""
 
@@ -67,7 +87,11 @@ class WordTokens:
 
     def encode(self, buf: np.ndarray, offs: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents, `end_id` after each, and the documents' offsets."""
-        starts, ends, first = words(buf, offs)
+        if len(buf) > 1 and ((buf[:-1] == ord("<")) & (buf[1:] == ord("|"))).any():
+            starts, ends, first = words(buf, offs)  # a special token may stand here: whole words, as they are
+        else:
+            starts, ends, first = units(buf, offs)
+            buf = LOWER[buf]  # the tokenizer lower-cases too, all but its special tokens
         h = span_hash(prefix_hash(buf), starts, ends)
         own, sample, inverse = np.unique(h, return_index=True, return_inverse=True)
         spot = np.searchsorted(self.known, own)

@@ -244,6 +244,26 @@ def test_packing(spark):
     assert pack_documents(docs(spark, []), path).count() == 0
 
 
+def test_tokens_by_word_equal_whole_texts():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from rillstone.llm.kernels import slices
+    from rillstone.llm.packing import WordTokens
+    from rillstone.llm.queries import tokenizer
+
+    path = tokenizer("word_bpe_49k.json")
+    whole, parts, r = Tokenizer.from_file(path), WordTokens(path), random.Random(1)
+    letters = "aB1\u00e9's.,!<|>*-n\u0303\u0338\u0301\u03a3\u03c3\u1e9e \u0130\u200b\u4e2d\u0663\u00bd'd'LL#"
+    texts = ["".join(r.choice(letters) for _ in range(r.randrange(60))) for _ in range(4000)]
+    texts += ["<|ENDOFTEXT|>", "<|endoftext|>", "A<|endoftext|>,b", "don't,", "we'RE!!", "x's,", "=\u0338", "a\u2260", "\x1f a\x1f"]
+    for most in (1 << 10, 1 << 20):
+        for i, j, buf, offs in slices(pa.array(texts), most):
+            ids, at = parts.encode(buf, offs, 0)
+            for k, e in zip(range(i, j), whole.encode_batch(texts[i:j], add_special_tokens=False)):
+                assert ids[at[k - i] : at[k - i + 1]].tolist() == [*e.ids, 0], texts[k]
+
+
 @pytest.mark.parametrize(("documents", "attention"), [(3, 10**9), (100, 3000), (2, 2600)])
 def test_packing_keeps_every_capacity(documents, attention):
     from rillstone.llm.packing import plan_bins
