@@ -1,8 +1,8 @@
 """Sharding by a minimax contiguous partition of ordered atomic groups. DataFrame and SQL functions only.
 
-Documents of equal text form a group that no cut may part. Groups are ordered by a 64-bit hash of
-their text; the leading bits name one of `UNITS` atomic units, so the array of unit sizes has a fixed
-length whatever the corpus holds. A binary search over the shard capacity, each step a greedy fill of
+Documents of equal text form a group that no cut may part. The leading bits of a 64-bit hash of the text
+name one of `UNITS` atomic units, so the array of unit sizes has a fixed length whatever the corpus
+holds; the units stand in an order that leaves small ones near the cuts. A binary search over the shard capacity, each step a greedy fill of
 the ordered units, finds the smallest capacity that needs no more than the wanted number of shards;
 the cuts keep to that capacity, and as near to equal shares as it allows.
 """
@@ -30,8 +30,15 @@ def _fill(sizes: Column, capacity: Column) -> Column:
 
 
 def _plan(units: DataFrame, shards: int) -> DataFrame:
-    """units (unit, bytes) -> (unit, shard) by the smallest feasible capacity."""
-    row = units.agg(F.array_sort(F.collect_list(F.struct("unit", "bytes"))).alias("u"), F.sum("bytes").alias("total"), F.max("bytes").alias("top"))
+    """units (unit, bytes) -> (unit, shard) by the smallest feasible capacity.
+
+    Units are ordered by falling size, dealt out to as many turns as there are shards, turn after turn: large
+    ones open a turn and the smallest close it, so that cuts, which lie near the turns' ends, find small steps.
+    """
+    falling = F.array_sort(F.collect_list(F.struct((-F.col("bytes")).alias("less"), F.col("unit").alias("unit"))))
+    row = units.agg(falling.alias("f"), F.sum("bytes").alias("total"), F.max("bytes").alias("top"))
+    turns = F.array_sort(F.transform("f", lambda x, i: F.struct((i % shards).alias("turn"), i.alias("at"), x["unit"].alias("id"), (-x["less"]).alias("bytes"))))
+    row = row.select(F.transform(turns, lambda x, i: F.struct(i.alias("unit"), x["bytes"].alias("bytes"), x["id"].alias("id"))).alias("u"), "total", "top")
     row = row.where("total is not null").select("u", F.transform("u", lambda x: x["bytes"]).alias("s"), "total", "top")
     low = F.greatest(F.col("top"), F.ceil(F.col("total") / shards).cast("long"))
     row = row.withColumn("lo", low).withColumn("hi", F.greatest(F.col("total"), low))
@@ -72,7 +79,7 @@ def _plan(units: DataFrame, shards: int) -> DataFrame:
 
     cuts = row.select("u", F.aggregate("u", begin, cut, lambda a: a["at"]).alias("at"))
     return cuts.select(F.explode("u").alias("x"), "at").select(
-        F.col("x.unit").alias("unit"), F.size(F.filter("at", lambda c: c <= F.col("x.unit"))).alias("shard")
+        F.col("x.id").alias("unit"), F.size(F.filter("at", lambda c: c <= F.col("x.unit"))).alias("shard")
     )
 
 
