@@ -30,13 +30,16 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds if before[0] else 0):
         # large star: neighbours larger than u go to u's smallest neighbour (or u itself)
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        # minima are written tables: a join with one can split a hub's rows over tasks, which it couldn't
+        # if the aggregate's own partitioning decided where they meet
+        least = keep(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large = keep(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "large")
         # small star: each node's smaller neighbours, and the node, go to the smallest of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = keep(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         new = keep(small, "edges")
-        forget(e)
+        for done in (e, least, large, low):
+            forget(done)
         e, after = new, _signature(new)
         if after == before:
             break
