@@ -175,6 +175,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5, hub_round
     found = confirm(rest)
     if found.limit(1).count():
         label = keep(components(links.unionByName(found)), "parts")
+    # only signatures, nodes and components are read from here on
+    for done in (grams, entries, facts, rest, found, left):
+        forget(done)
     member = signed.select("doc_id", "n", "s1", "s2").join(nodes.select(F.col("id").alias("node"), *(F.col(c).alias(f"{c}_") for c in one_set)), (F.col("s1") == F.col("s1_")) & (F.col("s2") == F.col("s2_")) & (F.col("n") == F.col("n_")), "left")
     out = member.join(label.select(F.col("id").alias("node"), "component_id"), "node", "left")
     root = F.coalesce("component_id", "node", "doc_id")
