@@ -19,6 +19,8 @@ from rillstone.llm.shared import keep
 from rillstone.llm.suffixes import remove_repeats
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Two texts are near copies if their shingle sets' intersection is so many hundredths of the union or more.
+NEAR_PERCENT = 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,9 +31,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest id."""
+    """One document of each group of near copies (`NEAR_PERCENT` of five-word shingles) stays: the one with the smallest id."""
     docs = docs.select(*COLUMNS)
-    gone = near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    gone = near_duplicates(docs, percent=NEAR_PERCENT, size=5).where("not kept").select("doc_id").distinct()
     left = docs.join(gone, "doc_id", "left_anti")
     # repeated rows of an id are one document; rows without an id are documents of their own
     own = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())

@@ -11,6 +11,7 @@ apart after that meet the bucket's other components.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,13 +22,17 @@ from pyspark.sql import functions as F
 from .kernels import U, mix, nested, sets, shingles, slices
 from .shared import components, forget, keep, sweep
 
-BANDS, ROWS = 24, 6  # independent samples for the band keys
+ROWS, MISS = 6, 1.2e-5  # independent samples of a band key; how often a pair right at the threshold may meet in no band
 SAMPLES, BITS = 512, 1024  # bottom samples, a whole set if it has no more, folded into a sketch of BITS parities
-_MUL = (np.random.default_rng(11).integers(1, 1 << 62, BANDS * ROWS, dtype=np.int64).astype(U) << U(1)) | U(1)
 #: Standard errors that a sampled estimate may lie off before a pair is left unconfirmed.
 SIGMAS = 5.0
 
 
+def bands_for(percent: int) -> int:
+    """Bands in which a pair at the threshold fails to meet with probability MISS at most: 24 for 85, 38 for 80."""
+    return max(1, math.ceil(math.log(MISS) / math.log1p(-((percent / 100) ** ROWS)))) if percent < 100 else 1
+
+
 def odd_sketches(h: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Parities of the hashed bottom samples: sets are sorted by hash, so the first SAMPLES are the smallest."""
     n_docs = len(at) - 1
@@ -43,23 +48,24 @@ def odd_sketches(h: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def signatures(buf: np.ndarray, offs: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
+def signatures(buf: np.ndarray, offs: np.ndarray, size: int, bands: int) -> tuple[np.ndarray, ...]:
     """Set sizes, two 64-bit sums that identify the set, band keys and odd sketches of each document."""
+    mul = (np.random.default_rng(11).integers(1, 1 << 62, bands * ROWS, dtype=np.int64).astype(U) << U(1)) | U(1)
     h, at = sets(*shingles(buf, offs, size))
     n_docs = len(offs) - 1
     n = np.diff(at)
     live = np.flatnonzero(n)
     begin = at[:-1][live]
     one, two = np.zeros(n_docs, U), np.zeros(n_docs, U)
-    keys, odd = np.zeros((n_docs, BANDS), U), odd_sketches(h, at)
+    keys, odd = np.zeros((n_docs, bands), U), odd_sketches(h, at)
     if len(live):
         one[live] = np.add.reduceat(mix(h + U(1)), begin)
         two[live] = np.add.reduceat(mix(h ^ U(0xA5A5A5A5A5A5A5A5)), begin)
-        low = np.empty((BANDS * ROWS, len(live)), U)
-        for k, m in enumerate(_MUL):
+        low = np.empty((bands * ROWS, len(live)), U)
+        for k, m in enumerate(mul):
             np.minimum.reduceat(h * m, begin, out=low[k])
-        values = mix(low + (np.arange(BANDS * ROWS, dtype=U) * U(0x9E3779B97F4A7C15))[:, None])
-        for b in range(BANDS):
+        values = mix(low + (np.arange(bands * ROWS, dtype=U) * U(0x9E3779B97F4A7C15))[:, None])
+        for b in range(bands):
             key = np.full(len(live), b + 1, U)
             for r in range(ROWS):
                 key = mix(key * U(0xD6E8FEB86659FD93) + values[b * ROWS + r])
@@ -96,10 +102,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5, hub_round
     give no links. Other columns are left out.
     """
 
+    bands = bands_for(percent)
+
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, buf, offs in slices(batch.column(1), 1 << 19):
-                n, one, two, keys, odd = signatures(buf, offs, size)
+                n, one, two, keys, odd = signatures(buf, offs, size, bands)
                 wide = lambda v: nested(v.view(np.int64).ravel(), np.arange(len(v) + 1) * v.shape[1], pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(n.astype(np.int64)), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), wide(keys), wide(odd)], ["doc_id", "n", "s1", "s2", "keys", "odd"])
 

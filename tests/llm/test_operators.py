@@ -208,6 +208,25 @@ def test_near_duplicates(spark, seed):
     assert got == near_oracle(texts)
 
 
+def test_near_stage_holds_from_four_fifths(spark):
+    import corpus_pipeline as p
+    from rillstone.llm.minhash import bands_for
+
+    assert bands_for(85) == 24 and all((1 - (c / 100) ** 6) ** bands_for(c) <= 1.2e-5 for c in (50, 80, 85))
+    r = random.Random(21)
+    texts = []
+    for g in range(30):
+        text = prose(r, 200, 5000).split()
+        for step in range(4):  # a chain: each differs from the one before by 4 words, a similarity of 0.81 or so
+            texts.append(" ".join(text))
+            for at in range(20 + 7 * step, 200, 46):
+                text[at] = f"x{g}y{step}z{at}"
+    want = near_oracle(texts, 80)
+    assert want != near_oracle(texts, 85)
+    got = {x["doc_id"] for x in p.STAGES[1][1](spark, docs(spark, texts), "").collect()}
+    assert got == {i for i, (_, c) in want.items() if i == c}
+
+
 def test_near_duplicates_of_nothing(spark):
     from rillstone.llm.minhash import near_duplicates
 
