@@ -2,8 +2,8 @@
 
 The tree is fitted on a bounded sample; every vector goes down it to a leaf. A query takes leaves from a
 priority queue of nodes, best bound first, and visits as many as calibration asks for: visits widen until
-the recall against brute force, measured on queries from the sample, reaches the target. Leaves are
-compared in blocks with the queries that visit them, and blocks pass on each query's best candidates only.
+the recall against brute force, measured on queries from the sample, reaches the target; a query goes on
+beyond that while the leaves it took hold too few vectors for its k. Leaves are compared in blocks with the queries that visit them, and blocks pass on each query's best candidates only.
 """
 
 from __future__ import annotations
@@ -75,18 +75,24 @@ class Tree:
             todo += [(kid, rows[own == k]) for k, kid in enumerate(kids) if (own == k).any()]
         return out
 
-    def visit(self, q: np.ndarray, most: int) -> np.ndarray:
-        """Each query's first `most` leaves, best bin first: by inner product with the centre plus a part of what the radius allows."""
+    def visit(self, q: np.ndarray, most: int, sizes: np.ndarray | None = None, least: np.ndarray | None = None) -> np.ndarray:
+        """Each query's first `most` leaves, best bin first: by inner product with the centre plus a part of what the radius allows.
+
+        With the leaves' sizes, empty leaves are passed over and further ones follow until they hold `least` vectors.
+        """
+        sizes = np.ones(self.leaves, np.int64) if sizes is None else sizes
+        least = np.zeros(len(q), np.int64) if least is None else least
         bound = q @ self.centre.T + 0.25 * np.linalg.norm(q, axis=1)[:, None] * self.radius[None, :]
-        out = np.full((len(q), min(most, self.leaves)), -1, np.int64)
+        out = np.full((len(q), self.leaves), -1, np.int64)
         for i, b in enumerate(bound):
-            queue, n = [(-b[0], 0)], 0
-            while queue and n < out.shape[1]:
+            queue, n, held = [(-b[0], 0)], 0, 0
+            while queue and (n < most or held < least[i]):
                 _, node = heapq.heappop(queue)
                 kids = self.children[node]
-                if not kids:
+                if not kids and sizes[self.leaf[node]]:
                     out[i, n] = self.leaf[node]
                     n += 1
+                    held += sizes[self.leaf[node]]
                 for kid in kids:
                     heapq.heappush(queue, (-b[kid], kid))
         return out
@@ -150,7 +156,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0
     placed = keep(v.mapInArrow(dealt, "vec_id long, leaf long, x binary, ask boolean"), "placed")
     sizes = {r[0]: r[1] for r in placed.groupBy("leaf").count().collect()}  # one row a leaf
     blocks = np.array([max(1, -(-sizes.get(leaf, 0) // BLOCK)) for leaf in range(tree.leaves)], np.int64)
-    live = np.array([leaf in sizes for leaf in range(tree.leaves)])
+    held = np.array([sizes.get(leaf, 0) for leaf in range(tree.leaves)], np.int64)
     first = np.concatenate([[0], np.cumsum(blocks)])
     of_leaf = F.create_map(*[c for leaf in range(tree.leaves) for c in (F.lit(leaf), F.struct(F.lit(int(first[leaf])).alias("first"), F.lit(int(blocks[leaf])).alias("n")))])
     mine = F.element_at(of_leaf, F.col("leaf").cast("int"))
@@ -165,11 +171,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0
                 part = batch.slice(begin, 512)
                 ids = part.column(0).to_numpy()
                 q = np.frombuffer(b"".join(part.column(1).to_pylist()), kind).reshape(len(ids), dims)
-                order = tree.visit(q.astype(np.float64), visits)
+                order = tree.visit(q.astype(np.float64), visits, held, k + part.column(2).to_numpy())
                 row, leaf = np.nonzero(order >= 0)
                 leaf = order[row, leaf]
-                ok = live[leaf]
-                row, leaf = row[ok], leaf[ok]
                 n = blocks[leaf]
                 block = np.repeat(first[leaf] - np.cumsum(n) + n, n) + np.arange(n.sum())
                 row = np.repeat(row, n)
@@ -180,7 +184,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0
                 spans = list(zip(cut[:-1], cut[1:], strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(block[cut[:-1]].astype(np.int64)), pa.array([ids[row[a:b]].tobytes() for a, b in spans], pa.binary()), pa.array([q[row[a:b]].tobytes() for a, b in spans], pa.binary())], ["block", "ids", "qs"])
 
-    asked = placed.where("ask").select("vec_id", "x").mapInArrow(asks, "block long, ids binary, qs binary")
+    # an id is asked once; rows of its own are no candidates, so it needs as many vectors more
+    asking = placed.groupBy("vec_id").agg(F.min(F.when(F.col("ask"), F.col("x"))).alias("x"), F.count(F.lit(1)).alias("own")).where("x is not null").select("vec_id", "x", "own")
+    asked = asking.mapInArrow(asks, "block long, ids binary, qs binary")
 
     def compare(own: pa.Table, asking: pa.Table) -> pa.Table:
         ids = own["vec_id"].to_numpy()
@@ -191,10 +197,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0
                 break
             qid = np.frombuffer(qid, np.int64)
             score = np.frombuffer(qs, kind).reshape(len(qid), dims).astype(np.float64) @ x.T
-            top = np.partition(score, max(0, score.shape[1] - k - 1), axis=1)[:, max(0, score.shape[1] - k - 1)]  # k and the query itself
-            row, col = np.nonzero(score >= top[:, None])
-            ok = ids[col] != qid[row]
-            row, col = row[ok], col[ok]
+            score[ids[None, :] == qid[:, None]] = -np.inf
+            top = np.partition(score, max(0, score.shape[1] - k), axis=1)[:, max(0, score.shape[1] - k)]
+            row, col = np.nonzero((score >= top[:, None]) & (score > -np.inf))
             pick = best(row, ids[col], score[row, col], k)
             h = np.zeros(len(pick), HIT)
             h["q"], h["v"], h["s"] = qid[row[pick]], ids[col[pick]], score[row[pick], col[pick]]

@@ -466,6 +466,28 @@ def test_nearest_in_several_chunks(spark, monkeypatch):
     assert key(whole) == key(parted)
 
 
+def test_nearest_of_clustered_vectors(spark, monkeypatch):
+    from rillstone.llm import kmtree
+    from rillstone.llm.kmtree import nearest
+
+    monkeypatch.setattr(kmtree, "LEAF", 8)
+    monkeypatch.setattr(kmtree, "calibrate", lambda *_: 1)  # what tight clusters ask for
+    r = np.random.default_rng(5)
+    rows = []
+    for c in r.normal(size=(6, 8)) * 20:  # tight clusters, one of them copies of a vector
+        rows += [c + (r.normal(size=8) * 1e-3 if len(rows) else 0) for _ in range(300)]
+    rows += list(r.normal(size=(40, 8)) * 400)  # outliers: leaves of one vector
+    ids = [*range(len(rows)), *[len(rows) - 1] * 30]  # and one that stands in the table many times
+    rows += [rows[-1]] * 30
+    table = spark.createDataFrame([(i, [float(y) for y in x]) for i, x in zip(ids, rows)], "vec_id long, embedding array<double>")
+    got = nearest(table, F.col("vec_id") % 7 == 6, k=20).toPandas()
+    asked = [i for i in ids if i % 7 == 6]
+    per = got.groupby("query_id")["rank"].agg(["count", "max"])
+    assert set(per.index) == set(asked) and (per["max"] >= 20).all() and (got["query_id"] != got["vec_id"]).all()
+    few = nearest(table.where("vec_id < 12"), F.col("vec_id") == 6, k=20).collect()
+    assert len(few) == 11
+
+
 def test_samples_keep_within_bytes(spark):
     from rillstone.llm.samples import within
 
