@@ -34,10 +34,19 @@ def _plan(units: DataFrame, shards: int) -> DataFrame:
 
     Units are ordered by falling size, dealt out to as many turns as there are shards, turn after turn: large
     ones open a turn and the smallest close it, so that cuts, which lie near the turns' ends, find small steps.
+    Units above an equal share of what larger ones leave stand before all turns, each to be a shard of its own.
     """
     falling = F.array_sort(F.collect_list(F.struct((-F.col("bytes")).alias("less"), F.col("unit").alias("unit"))))
     row = units.agg(falling.alias("f"), F.sum("bytes").alias("total"), F.max("bytes").alias("top"))
-    turns = F.array_sort(F.transform("f", lambda x, i: F.struct((i % shards).alias("turn"), i.alias("at"), x["unit"].alias("id"), (-x["less"]).alias("bytes"))))
+
+    def alone(a: Column, x: Column) -> Column:
+        more = (a["n"] == x["i"]) & (x["bytes"] * (F.lit(shards) - a["n"]) > a["left"])
+        return F.struct((a["n"] + more.cast("int")).alias("n"), F.when(more, a["left"] - x["bytes"]).otherwise(a["left"]).alias("left"))
+
+    largest = F.transform(F.slice("f", 1, shards), lambda x, i: F.struct(i.alias("i"), (-x["less"]).alias("bytes")))
+    row = row.withColumn("own", F.aggregate(largest, F.struct(F.lit(0).alias("n"), F.col("total").alias("left")), alone, lambda a: a["n"]))
+    turn = lambda i: F.when(i < F.col("own"), i - F.col("own")).otherwise((i - F.col("own")) % (F.lit(shards) - F.col("own")))
+    turns = F.array_sort(F.transform("f", lambda x, i: F.struct(turn(i).alias("turn"), i.alias("at"), x["unit"].alias("id"), (-x["less"]).alias("bytes"))))
     row = row.select(F.transform(turns, lambda x, i: F.struct(i.alias("unit"), x["bytes"].alias("bytes"), x["id"].alias("id"))).alias("u"), "total", "top")
     row = row.where("total is not null").select("u", F.transform("u", lambda x: x["bytes"]).alias("s"), "total", "top")
     low = F.greatest(F.col("top"), F.ceil(F.col("total") / shards).cast("long"))
@@ -63,16 +72,17 @@ def _plan(units: DataFrame, shards: int) -> DataFrame:
     # the first unit from which 1, 2, ... shards of that capacity hold all the rest
     start = F.struct(F.col("cap").alias("cap"), F.lit(0).cast("long").alias("used"), F.lit(0).alias("at"), none.alias("starts"))
     row = row.withColumn("starts", F.aggregate(F.reverse("u"), start, from_the_end, lambda a: F.concat(a["starts"], F.array(a["at"]))))
-    fair = F.col("total") / shards
-    begin = F.struct(F.col("cap").alias("cap"), fair.alias("fair"), F.col("starts").alias("starts"), F.lit(0).cast("long").alias("used"), F.lit(0).cast("long").alias("all"), none.alias("at"))
+    begin = F.struct(F.col("cap").alias("cap"), F.col("total").alias("total"), (F.col("total") / shards).alias("aim"), F.col("starts").alias("starts"), F.lit(0).cast("long").alias("used"), F.lit(0).cast("long").alias("all"), none.alias("at"))
 
-    # cut where the capacity forces it, or at the unit nearest to an equal share if the rest still fits behind it
+    # cut where the capacity forces it, or at the unit nearest to an equal share of what the shards before left, if the
+    # rest still fits behind it; a unit above the share so takes from the shards behind it alike
     def cut(a: Column, x: Column) -> Column:
         n = F.size(a["at"]) + 1
         rest_fits = (F.lit(shards) - n >= F.size(a["starts"])) | (x["unit"] >= F.coalesce(F.get(a["starts"], F.lit(shards) - n - 1), F.lit(UNITS)))
-        even = (n < shards) & (a["used"] > 0) & (a["all"] + x["bytes"] / 2 > a["fair"] * n) & rest_fits
+        even = (n < shards) & (a["used"] > 0) & (a["all"] + x["bytes"] / 2 > a["aim"]) & rest_fits
         new = (a["used"] + x["bytes"] > a["cap"]) | even
-        same = (a["cap"].alias("cap"), a["fair"].alias("fair"), a["starts"].alias("starts"))
+        aim = F.when(new, a["all"] + (a["total"] - a["all"]) / F.greatest(F.lit(shards) - n, F.lit(1))).otherwise(a["aim"])
+        same = (a["cap"].alias("cap"), a["total"].alias("total"), aim.alias("aim"), a["starts"].alias("starts"))
         return F.when(new, F.struct(*same, x["bytes"].alias("used"), (a["all"] + x["bytes"]).alias("all"), F.concat(a["at"], F.array(x["unit"].cast("int"))).alias("at"))).otherwise(
             F.struct(*same, (a["used"] + x["bytes"]).alias("used"), (a["all"] + x["bytes"]).alias("all"), a["at"].alias("at"))
         )

@@ -62,6 +62,21 @@ def test_sharding_is_minimax(spark):
     assert max(loads) == next(c for c in range(max(sizes), sum(sizes) + 1) if shards_for(c) <= 5)
 
 
+def test_sharding_around_large_groups(spark):
+    from rillstone.llm import sharding
+
+    r = random.Random(4)
+    rest = [r.randrange(30, 90) for _ in range(800)]
+    for large in ([sum(rest) // 2], [sum(rest) // 2, sum(rest) // 4, sum(rest) // 9, sum(rest) // 9]):  # the first: a third of all
+        sizes = rest + large
+        plan = sharding._plan(spark.createDataFrame(list(enumerate(sizes)), "unit int, bytes long"), 40).toPandas()
+        loads = [sum(sizes[u] for u in g["unit"]) for _, g in plan.groupby("shard")]
+        share = sum(rest) / (40 - len(large))
+        assert len(loads) == 40 and len(plan) == len(sizes)
+        assert min(loads) > 0.9 * share and max(loads) == max(large)
+        assert sorted(loads)[-len(large) - 1] < 1.1 * share
+
+
 def test_sharding_of_nothing(spark):
     from rillstone.llm.sharding import shard_documents
 
