@@ -11,11 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .kernels import LOWER, U, mix, prefix_hash, slices, span_hash, words
-from .samples import remainder, within
+from .samples import MOST_BYTES, remainder, within
 
-#: Hashed features; texts of each language that the fit reads at most; languages, the most frequent first.
-DIMS, SAMPLE_ROWS, MOST_LANGUAGES = 1 << 13, 800, 64
-#: Texts that the fit reads in all, so that their features fit the driver; fewer of each language if there are many.
+#: Hashed features; texts of each language that the fit reads at most.
+DIMS, SAMPLE_ROWS = 1 << 13, 800
+#: Texts that the fit reads in all, so that their features fit the driver; fewer of each language if there are many, but one.
 MOST_TEXTS = 4000
 #: Texts whose features are held at once, however short they are.
 ROWS = 256
@@ -145,7 +145,7 @@ def has_letter(col: pa.Array) -> np.ndarray:
 def identify(docs: DataFrame, learn_from: DataFrame | None = None, may_learn: Column | None = None, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", carry: tuple[str, ...] = ()) -> DataFrame:
     """The carried columns (by default the id and held_out) with lang_pred and score (0 to 1) of every whole text.
 
-    Learns from about `sample_rows` texts (`MOST_TEXTS` in all) of the `MOST_LANGUAGES` most frequent languages, rows
+    Learns from about `sample_rows` texts (`MOST_TEXTS` in all, one of each language at least) of every language, rows
     whose crc32(id) mod 4 is not 2 and whose text and lang are not null. Null texts and texts without a
     letter are `und` with score 0; so is everything if there is nothing to learn from. Repeated rows are
     judged each, empty tables give empty results.
@@ -153,16 +153,20 @@ def identify(docs: DataFrame, learn_from: DataFrame | None = None, may_learn: Co
     source = docs if learn_from is None else learn_from
     usable = F.coalesce(remainder(id_col, 4) != 2, F.lit(False)) if may_learn is None else may_learn
     rows = source.where(usable & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    counts = rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(MOST_LANGUAGES).collect()
-    sample_rows = max(1, min(sample_rows, MOST_TEXTS // max(1, len(counts))))
-    # rows whose hashed id is under their language's share: one scan, about sample_rows of each language
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(17), id_col), 11) * F.lit(2.0**-53)
-    share = F.lit(0.0)
-    for r in counts:
-        share = F.when(F.col(lang_col) == r[0], F.lit(sample_rows / r["count"])).otherwise(share)
-    found = rows.where(draw < share).select(F.xxhash64(id_col).alias("h"), F.col(lang_col).alias("label"), F.col(text_col).alias("text"))
-    got = within(found, 2 * sample_rows * max(1, len(counts)))
-    texts, langs = [r[2] for r in got], [r[1] for r in got]
+    counts = rows.groupBy(F.col(lang_col).alias("label")).agg(F.count(F.lit(1)).alias("n"), F.min(draw).alias("least")).collect()
+    texts, langs = [], []
+    if counts:
+        # one text of each language, so that none is missed by chance or for bytes, at its full length unless that is beyond its part of MOST_BYTES
+        more = max(1, min(sample_rows, MOST_TEXTS // len(counts))) - 1
+        shares = docs.sparkSession.createDataFrame([(r["label"], r["least"], more / r["n"]) for r in counts], "label string, least double, share double")
+        dealt = rows.select(F.xxhash64(id_col).alias("h"), draw.alias("draw"), F.col(lang_col).alias("label"), F.col(text_col).alias("text")).join(F.broadcast(shares), "label")
+        chars = max(1, MOST_BYTES // (4 * len(counts)))
+        heads = dealt.where("draw = least").select("label", F.left("text", F.lit(chars)).alias("text")).groupBy("label").agg(F.min("text").alias("text")).collect()
+        # and rows whose hashed id is under their language's share: one scan, about sample_rows of each language
+        left = max(0, MOST_BYTES - sum(len(r["text"].encode()) for r in heads))
+        got = within(dealt.where("draw > least and draw < share").select("h", "label", "text"), 2 * more * len(counts), left) if more else []
+        texts, langs = [*(r["text"] for r in heads), *(r[2] for r in got)], [*(r["label"] for r in heads), *(r[1] for r in got)]
     model = docs.sparkSession.sparkContext.broadcast(Languages(texts, langs) if texts else None)
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,7 +175,7 @@ def identify(docs: DataFrame, learn_from: DataFrame | None = None, may_learn: Co
             col = batch.column(0)
             pick, score = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
             if m is not None:
-                for i, j, buf, offs in slices(col, 1 << 18, ROWS):
+                for i, j, buf, offs in slices(col, 1 << 18, max(1, min(ROWS, (1 << 21) // len(m.names)))):
                     pick[i:j], score[i:j] = m.predict(buf, offs)
             ok = has_letter(col) & (m is not None)
             names = pa.array([*(m.names if m is not None else []), "und"], pa.string())

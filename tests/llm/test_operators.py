@@ -430,6 +430,17 @@ def test_language(spark):
 # ---------------------------------------------------------------- pipeline
 
 
+def test_language_learns_every_language(spark):
+    from rillstone.llm.language import identify
+
+    r = random.Random(6)
+    rows = [(100 * k + i, " ".join(f"{chr(97 + k % 26)}{chr(97 + k // 26)}{r.randrange(30)}" for _ in range(20)), f"q{k}") for k in range(70) for i in range(4 + k % 5)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for most in (800, 1):
+        got = identify(d, may_learn=F.lit(True), sample_rows=most).join(d, "doc_id")
+        assert got.where("lang_pred = lang").select("lang").distinct().count() == 70, most
+
+
 def test_pipeline(spark):
     import corpus_pipeline as p
 
