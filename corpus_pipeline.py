@@ -24,10 +24,11 @@ NEAR_PERCENT = 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (no letter at all) go; the others get the language they are written in."""
+    """Documents without a letter go; the others get the language they are written in, or keep theirs if none could be learned."""
     judged = identify(docs.select(*COLUMNS), carry=COLUMNS)
-    given = [F.col("lang_pred").alias("lang") if c == "lang" else F.col(c) for c in COLUMNS]
-    return judged.where("lang_pred <> 'und'").select(*given)
+    told = F.when(F.col("lang_pred") == "und", F.col("lang")).otherwise(F.col("lang_pred")).alias("lang")
+    given = [told if c == "lang" else F.col(c) for c in COLUMNS]
+    return judged.where((F.col("lang_pred") != "und") | F.col("text").rlike(r"\p{L}")).select(*given)
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -479,6 +479,16 @@ def test_pipeline_stages_on_odd_rows(spark):
     assert p.STAGES[3][1](spark, d, SF).count() >= 1
 
 
+def test_language_stage_with_nothing_to_learn(spark):
+    import corpus_pipeline as p
+
+    texts = ["a text", "été", "12 !?", "", None]
+    got = p.STAGES[0][1](spark, docs(spark, texts).withColumn("lang", F.lit(None).cast("string")), SF).collect()
+    assert {(r["doc_id"], r["lang"]) for r in got} == {(0, None), (1, None)}
+    held = docs(spark, ["a text"], ids=[next(i for i in range(99) if zlib.crc32(str(i).encode()) % 4 == 2)])
+    assert [r["lang"] for r in p.STAGES[0][1](spark, held, SF).collect()] == ["en"]
+
+
 def test_nearest_in_several_chunks(spark, monkeypatch):
     from rillstone.llm import kmtree
 
