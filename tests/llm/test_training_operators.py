@@ -496,7 +496,7 @@ def test_nearest_in_several_chunks(spark, monkeypatch):
     rows = [(i, [float(np.float32(v)) for v in r.normal(size=8)], 0, 0, "") for i in range(400)]
     whole = kmtree.nearest(vectors(spark, rows), F.col("vec_id") % 4 == 0, k=5).collect()
     monkeypatch.setattr(kmtree, "CHUNK", 30)
-    monkeypatch.setattr(kmtree, "BLOCK", 40)
+    monkeypatch.setattr(kmtree, "GROUP", (40, 40))
     parted = kmtree.nearest(vectors(spark, rows), F.col("vec_id") % 4 == 0, k=5).collect()
     key = lambda rs: sorted((x["query_id"], x["rank"], x["vec_id"], round(x["score"], 9)) for x in rs)
     assert key(whole) == key(parted)
@@ -507,7 +507,7 @@ def test_nearest_of_clustered_vectors(spark, monkeypatch):
     from rillstone.llm.kmtree import nearest
 
     monkeypatch.setattr(kmtree, "LEAF", 8)
-    monkeypatch.setattr(kmtree, "calibrate", lambda *_: 1)  # what tight clusters ask for
+    monkeypatch.setattr(kmtree, "calibrate", lambda *_: (1, 0.25))  # what tight clusters ask for
     r = np.random.default_rng(5)
     rows = []
     for c in r.normal(size=(6, 8)) * 20:  # tight clusters, one of them copies of a vector
@@ -524,6 +524,57 @@ def test_nearest_of_clustered_vectors(spark, monkeypatch):
     assert len(few) == 11
 
 
+def test_vectors_when_hardly_one_is_usable(spark):
+    from rillstone.llm.forest import near_duplicate_vectors
+    from rillstone.llm.kmtree import nearest
+
+    zero = spark.range(60_000).select(F.col("id").alias("vec_id"), F.array_repeat(F.lit(0.0).cast("float"), 8).alias("embedding"), F.lit(1).alias("label"))
+    two = vectors(spark, [(70_000, [0.5] * 8, 1, 0, ""), (70_001, [0.5] * 8, 1, 0, "")]).select("vec_id", "embedding", "label")
+    both = zero.unionByName(two)
+    got = near_duplicate_vectors(both).where("vec_id >= 70000").collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == [(70_000, 1, 70_000), (70_001, 1, 70_000)]
+    assert [(r["query_id"], r["vec_id"], r["score"]) for r in nearest(both, F.col("vec_id") == 70_000).collect()] == [(70_000, 70_001, 2.0)]
+
+
+def test_vectors_of_several_lengths(spark):
+    from rillstone.llm.forest import near_duplicate_vectors
+    from rillstone.llm.kmtree import nearest
+
+    r = np.random.default_rng(8)
+    rows = [(i, [float(v) for v in r.normal(size=8)], 1, 0, "") for i in range(100)] + [(200 + i, [3.0, 4.0], 1, 0, "") for i in range(2)] + [(300, [1.0, 0.0], 1, 0, "")]
+    got = {x["vec_id"]: (x["n_links"], x["component_id"]) for x in near_duplicate_vectors(vectors(spark, rows)).collect()}
+    assert (got[200], got[201], got[300]) == ((1, 200), (1, 200), (0, 300)) and len(got) == 103
+    found = nearest(vectors(spark, rows), F.col("vec_id").isin(5, 200), k=20).toPandas()
+    assert found[found["query_id"] == 200]["vec_id"].tolist() == [201, 300] and len(found) == 22
+
+
+def test_nearest_of_repeated_queries(spark):
+    from rillstone.llm.kmtree import nearest
+
+    r = np.random.default_rng(9)
+    rows = [(i, [float(np.float32(v)) for v in r.normal(size=8)], 1, 0, "") for i in range(60)]
+    once = nearest(vectors(spark, rows), F.col("vec_id") == 7, k=5).orderBy("rank").collect()
+    many = nearest(vectors(spark, rows + [rows[7]] * 3), F.col("vec_id") == 7, k=5).orderBy("rank").collect()
+    assert once == many and len({x["vec_id"] for x in many}) == 5
+
+
+@pytest.mark.parametrize("clustered", [False, True])
+def test_recall_of_nearest(spark, clustered):
+    from rillstone.llm.kmtree import nearest
+
+    r = np.random.default_rng(10)
+    x = r.normal(size=(6000, 16))
+    if clustered:
+        x = r.normal(size=(60, 16))[r.integers(60, size=6000)] * 3 + 0.3 * x
+    got = nearest(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"), F.col("vec_id") % 40 == 0, k=10).toPandas()
+    q = np.arange(0, 6000, 40)
+    s = x[q] @ x.T
+    s[np.arange(len(q)), q] = -np.inf
+    true = np.argsort(-s, axis=1)[:, :10]
+    own = got.groupby("query_id")["vec_id"].agg(set)
+    assert np.mean([len(own[a] & set(b)) for a, b in zip(q, true)]) / 10 >= 0.9
+
+
 def test_samples_keep_within_bytes(spark):
     from rillstone.llm.samples import within
 
