@@ -14,6 +14,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
+#: Bytes of a very long text that a kernel works on at a time.
+WINDOW = 1 << 20
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -77,6 +79,42 @@ def slices(col: pa.Array, most: int = 1 << 20, rows: int = 1 << 20) -> Iterator[
         i = j
 
 
+def stretches(col: pa.Array, most: int, reach: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, int, int]]:
+    """As slices(), but a text of more than 4 * WINDOW bytes comes in stretches: also the byte of its text that a stretch begins at,
+    and how many positions are the stretch's own; the `reach` bytes behind them come along."""
+    for i, j, buf, offs in slices(col, most):
+        if j - i > 1 or len(buf) <= 4 * WINDOW:
+            yield i, j, buf, offs, 0, len(buf)
+            continue
+        for a in range(0, len(buf), WINDOW):
+            part = buf[a : a + WINDOW + reach]
+            yield i, j, part, np.array([0, len(part)]), a, min(WINDOW, len(buf) - a)
+
+
+def word_hashes(buf: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Hashes of one text's words, its bytes taken through `table` first: those of span_hash(), but WINDOW bytes at a time."""
+    out, open_sum, open_len = [], 0, 0
+    for a in range(0, len(buf), WINDOW):
+        part = table[buf[a : a + WINDOW]]
+        starts, ends, _ = words(part, np.array([0, len(part)]))
+        if not len(starts):
+            starts = ends = np.zeros(0, np.int64)
+        sums = prefix_hash(part)
+        raw, n = (sums[ends] - sums[starts]) * powers(len(sums))[1][starts], (ends - starts).astype(U)
+        if open_len and len(starts) and starts[0] == 0:
+            raw[:1] = raw[:1] * U(pow(_BASE, open_len, 1 << 64)) + U(open_sum)
+            n[:1] += U(open_len)
+        elif open_len:
+            raw, n = np.append(U(open_sum), raw), np.append(U(open_len), n)
+        open_len = 0
+        if len(ends) and ends[-1] == len(part):
+            open_sum, open_len, raw, n = int(raw[-1]), int(n[-1]), raw[:-1], n[:-1]
+        out.append(mix(raw + n))
+    if open_len:
+        out.append(mix(np.array([open_sum], U) + U(open_len)))
+    return np.concatenate(out) if out else np.zeros(0, U)
+
+
 def words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the runs of anything but ASCII white space, and each document's first word."""
     if not len(buf):
@@ -100,20 +138,29 @@ def shingles(buf: np.ndarray, offs: np.ndarray, size: int = 5) -> tuple[np.ndarr
 
     A document with fewer words has its whole sequence as one; one without words has none.
     """
-    low = LOWER[buf]
-    starts, ends, first = words(low, offs)
-    w = span_hash(prefix_hash(low), starts, ends)
+    if len(offs) == 2 and len(buf) > 4 * WINDOW:
+        w = word_hashes(buf, LOWER)
+        first = np.array([0, len(w)])
+    else:
+        low = LOWER[buf]
+        starts, ends, first = words(low, offs)
+        w = span_hash(prefix_hash(low), starts, ends)
     n_words = np.diff(first)
     count = np.where(n_words == 0, 0, np.maximum(1, n_words - size + 1))
     at = np.zeros(len(offs), np.int64)
     np.cumsum(count, out=at[1:])
-    begin = np.repeat(first[:-1] - at[:-1], count) + np.arange(at[-1])
-    length = np.repeat(np.minimum(n_words, size), count)
-    out = np.zeros(at[-1], U)
-    for k in range(size):
-        here = k < length
-        out = out * U(0xD6E8FEB86659FD93) + np.where(here, w[np.minimum(begin + k, max(len(w) - 1, 0))] if len(w) else U(0), U(0))
-    return mix(out + length.astype(U)), at
+    if len(offs) == 2 and count[0] > WINDOW:
+        lots = [(i, min(i + WINDOW, count[0])) for i in range(0, count[0], WINDOW)]
+        return np.concatenate([_runs(w[i : j + size - 1], np.arange(j - i), np.full(j - i, size)) for i, j in lots]), at
+    return _runs(w, np.repeat(first[:-1] - at[:-1], count) + np.arange(at[-1]), np.repeat(np.minimum(n_words, size), count)), at
+
+
+def _runs(w: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Hashes of the runs of `length` word hashes from `begin` on."""
+    out = np.zeros(len(begin), U)
+    for k in range(int(length.max()) if len(length) else 0):
+        out = out * U(0xD6E8FEB86659FD93) + np.where(k < length, w[np.minimum(begin + k, len(w) - 1)], U(0))
+    return mix(out + length.astype(U))
 
 
 def sets(hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

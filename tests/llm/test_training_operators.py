@@ -141,9 +141,9 @@ def test_mixing_stops_at_three_times(spark):
 
 
 def repeats_oracle(rows, length):
+    """Rows (id, text) -> id and text to counts and hash; texts of one id in order of their crc32, equal rows once."""
     seen, out = {}, {}
-    for i, t in sorted(rows, key=lambda x: x[0]):
-        b = (t or "").encode()
+    for i, _, b in sorted({(i, zlib.crc32((t or "").encode()), (t or "").encode()) for i, t in rows}):
         gone = [False] * len(b)
         for s in range(len(b) - length + 1):
             w = b[s : s + length]
@@ -153,14 +153,21 @@ def repeats_oracle(rows, length):
                 seen[w] = 1
         kept = bytes(c for c, g in zip(b, gone) if not g)
         spans = sum(g and (k == 0 or not gone[k - 1]) for k, g in enumerate(gone))
-        out[i] = (len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest())
+        out[i, b] = (len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest())
     return out
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_repeats(spark, seed):
+def check_repeats(spark, texts, length, ids=None):
     from rillstone.llm.suffixes import remove_repeats
 
+    ids = list(range(len(texts))) if ids is None else ids
+    got = sorted(tuple(x) for x in remove_repeats(docs(spark, texts, ids=ids), length=length).collect())
+    want = repeats_oracle(zip(ids, texts), length)
+    assert got == sorted((i, *want[i, (t or "").encode()]) for i, t in zip(ids, texts))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_repeats(spark, seed):
     r = random.Random(seed)
     parts = [prose(r, 30, 8) for _ in range(6)] + ["Licensed under some long and well known licence, version 2 of it."]
     texts = [None, "", "short", "ab" * 200, "ü" * 150]
@@ -168,8 +175,68 @@ def test_repeats(spark, seed):
         t = " ".join(r.choice([r.choice(parts), prose(r, r.randrange(1, 25), 9)]) for _ in range(r.randrange(1, 6)))
         texts.append(t)
     texts += [texts[7], texts[7][:150] + "!" + texts[7][150:]]
-    got = {x[0]: tuple(x)[1:] for x in remove_repeats(docs(spark, texts), length=100).collect()}
-    assert got == repeats_oracle(list(enumerate(texts)), 100)
+    check_repeats(spark, texts, 100)
+
+
+@pytest.mark.parametrize("length", [40, 60, 254, 294, 295, 400])
+def test_repeats_of_any_length(spark, length):
+    r = random.Random(length)
+    parts = [prose(r, 2 * length // 3, 30) for _ in range(4)]
+    texts = [" ".join(r.choice([r.choice(parts), prose(r, 20, 9), r.choice(parts)[: r.randrange(length)]]) for _ in range(4)) for _ in range(20)] + ["ab" * length]
+    check_repeats(spark, texts, length)
+
+
+def test_repeats_under_one_id(spark):
+    r = random.Random(12)
+    a, b, c = (prose(r, 70, 5000) for _ in range(3))
+    check_repeats(spark, [a, a[:200] + " " + c[:150], b, b, a, c + b], 100, ids=[0, 1, 1, 1, 2, 2])
+
+
+@pytest.mark.parametrize("most", [2, 5])
+def test_repeats_of_hot_anchors(spark, monkeypatch, most):
+    from rillstone.llm import suffixes
+
+    monkeypatch.setattr(suffixes, "HOT", most)
+    r = random.Random(13)
+    line = prose(r, 25, 3000)
+    texts = [" ".join([prose(r, r.randrange(30), 500), line[r.randrange(9) :], prose(r, r.randrange(30), 500)]) for _ in range(60)] + ["x" * 400, None, line, line]
+    check_repeats(spark, texts, 100)
+
+
+def test_repeats_in_stretches(spark, monkeypatch):
+    from rillstone.llm import kernels, suffixes
+
+    r = random.Random(14)
+    part = prose(r, 60, 5000)
+    texts = [" ".join([prose(r, 300, 5000), part, prose(r, 400, 5000), part, prose(r, 50, 5000)]), part, prose(r, 100, 5000) + " " + part]
+    monkeypatch.setattr(kernels, "WINDOW", 512)
+    import pyarrow as pa
+
+    ids = np.arange(3)
+    whole = [k for _, _, buf, offs in kernels.slices(pa.array(texts)) for k in suffixes.runs_of(buf, offs, ids, suffixes.ties(buf, offs), 100)]
+    parted = [k for i, j, buf, offs, base, own in kernels.stretches(pa.array(texts), 1, 99) for k in suffixes.runs_of(buf, offs, ids[i:j], ids[i:j], 100, base, own)]
+    windows = lambda runs: sorted((int(x["doc"]), int(x["at"]) + k, int(x["h"]), int(x["at"]) + int(x["off"])) for x in runs for k in range(x["n"]))
+    assert windows(whole) == windows(parted) and len(parted) > len(whole)
+
+
+def test_a_line_in_many_texts_keeps_memory(spark):
+    """What one range gets of a 110-byte line in 20,000 texts, sorted in one process."""
+    import tracemalloc
+
+    from rillstone.llm import suffixes
+
+    r = np.random.default_rng(15)
+    line = r.integers(97, 123, 110).astype(np.uint8)
+    n, windows = 20_000, 61
+    body = r.integers(97, 123, (n, windows + 99)).astype(np.uint8)
+    body[:, 20:130] = line
+    head = np.zeros(n, suffixes.PIECE)
+    head["doc"], head["n"], head["key"] = np.arange(n), windows, 5
+    tracemalloc.start()
+    m = suffixes.repeats_among(head[:8192], body[:8192].ravel(), 100)  # as many runs as an anchor may have before its windows spread out
+    assert tracemalloc.get_traced_memory()[1] < 400 << 20
+    tracemalloc.stop()
+    assert int(m["n"].sum()) >= 8191 * 11 and set(m["doc"].tolist()) == set(range(1, 8192))
 
 
 def test_repeats_as_documents(spark):
