@@ -46,6 +46,11 @@ def forget(df: DataFrame) -> None:
 
 
 def sweep(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop shuffle files of finished work."""
+    """Let Spark's cleaner drop shuffle files of finished work.
+
+    Its event queues hold on to the last query, so one that shuffles nothing comes after it; then unreachable
+    shuffles are found by the collectors of both sides.
+    """
+    spark.sql("select 1").collect()
     gc.collect()
     spark._jvm.System.gc()
