@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .kernels import LOWER, U, mix, prefix_hash, slices, span_hash, words
+from .kernels import LOWER, U, WINDOW, mix, prefix_hash, slices, span_hash, stretches, word_hashes, words
 from .samples import MOST_BYTES, remainder, within
 
 #: Hashed features; texts of each language that the fit reads at most.
@@ -44,10 +44,27 @@ def family(lang: str) -> str:
 
 def features(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """A row of unit length per document: damped counts of hashed byte runs of 1 to 4 and of words, lower-cased."""
-    low = LOWER[buf]
     n_docs = len(offs) - 1
-    out = np.zeros(n_docs * DIMS, np.float32)
-    doc = np.repeat(np.arange(n_docs, dtype=np.int64) * DIMS, np.diff(offs))
+    if n_docs == 1 and len(buf) > 4 * WINDOW:
+        out = sum(_byte_runs(LOWER[buf[a : a + WINDOW + 3]], np.array([0, min(len(buf) - a, WINDOW + 3)]), WINDOW) for a in range(0, len(buf), WINDOW))
+        h, first = word_hashes(buf, LOWER), None
+    else:
+        low = LOWER[buf]
+        out = _byte_runs(low, offs, len(buf))
+        starts, ends, first = words(low, offs)
+        h = span_hash(prefix_hash(low), starts, ends)
+    at = (mix(h + U(5)) >> U(64 - 13)).astype(np.int64)
+    if first is not None:
+        at += np.repeat(np.arange(n_docs, dtype=np.int64) * DIMS, np.diff(first))
+    out = out + 2 * np.bincount(at, minlength=len(out)).astype(np.float32)
+    x = np.sqrt(out.reshape(n_docs, DIMS))
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+
+
+def _byte_runs(low: np.ndarray, offs: np.ndarray, own: int) -> np.ndarray:
+    """Counts of each document's runs of 1 to 4 bytes that begin at one of the first `own` bytes, end to end."""
+    out = np.zeros((len(offs) - 1) * DIMS, np.float32)
+    doc = np.repeat(np.arange(len(offs) - 1, dtype=np.int64) * DIMS, np.diff(offs))
     code = low.astype(np.uint32)
     run = code.copy()
     for k in range(1, 5):
@@ -55,16 +72,12 @@ def features(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
             if len(run) < 2:
                 break
             run = run[:-1] << np.uint32(8) | code[k - 1 :]
-            inside = doc[k - 1 :] == doc[: len(run)]
         slot = ((run + np.uint32(k)) * np.uint32(2654435761)) >> np.uint32(32 - 13)
+        inside = doc[k - 1 :] == doc[: len(run)]
+        inside[own:] = False
         at = doc[: len(run)] + slot
-        out += np.bincount(at if k == 1 else at[inside], minlength=len(out)).astype(np.float32)
-    starts, ends, first = words(low, offs)
-    h = span_hash(prefix_hash(low), starts, ends)
-    at = np.repeat(np.arange(n_docs, dtype=np.int64) * DIMS, np.diff(first)) + (mix(h + U(5)) >> U(64 - 13)).astype(np.int64)
-    out += 2 * np.bincount(at, minlength=len(out)).astype(np.float32)
-    x = np.sqrt(out.reshape(n_docs, DIMS))
-    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+        out += np.bincount(at[inside], minlength=len(out)).astype(np.float32)
+    return out
 
 
 def linear_svm(x: np.ndarray, y: np.ndarray, c: float = 4.0, epochs: int = 12, seed: int = 3) -> np.ndarray:
@@ -131,11 +144,11 @@ class Languages:
 
 def has_letter(col: pa.Array) -> np.ndarray:
     out = np.zeros(len(col), bool)
-    plain = np.zeros(256, np.int64)
-    plain[[*range(65, 91), *range(97, 123)]] = 1
-    for i, j, buf, offs in slices(col):
-        total = np.concatenate([[0], np.cumsum(plain[buf])])
-        out[i:j] = total[offs[1:]] > total[offs[:-1]]
+    plain = np.zeros(256, bool)
+    plain[[*range(65, 91), *range(97, 123)]] = True
+    for i, _, buf, offs, _, _ in stretches(col, 1 << 20, 0):
+        total = np.concatenate([[0], np.cumsum(plain[buf], dtype=np.int32)])
+        out[i : i + len(offs) - 1] |= total[offs[1:]] > total[offs[:-1]]
     for k in np.flatnonzero(~out):
         text = col[int(k)].as_py()
         out[k] = bool(text) and any(ch.isalpha() for ch in text)
@@ -148,7 +161,8 @@ def identify(docs: DataFrame, learn_from: DataFrame | None = None, may_learn: Co
     Learns from about `sample_rows` texts (`MOST_TEXTS` in all, one of each language at least) of every language, rows
     whose crc32(id) mod 4 is not 2 and whose text and lang are not null. Null texts and texts without a
     letter are `und` with score 0; so is everything if there is nothing to learn from. Repeated rows are
-    judged each, empty tables give empty results.
+    judged each, very long texts whole but a window at a time, ties go to the first language or family by name; empty
+    tables give empty results.
     """
     source = docs if learn_from is None else learn_from
     usable = F.coalesce(remainder(id_col, 4) != 2, F.lit(False)) if may_learn is None else may_learn

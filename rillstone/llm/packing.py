@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .kernels import LOWER, prefix_hash, slices, span_hash, words
+from .kernels import LOWER, SPACE, WINDOW, prefix_hash, slices, span_hash, words
 from .shared import keep
 
 #: Words whose ids a Python worker remembers.
@@ -86,7 +86,24 @@ class WordTokens:
         return np.concatenate(parts) if parts else np.zeros(0, np.uint32), count
 
     def encode(self, buf: np.ndarray, offs: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all documents, `end_id` after each, and the documents' offsets."""
+        """Ids of all documents, `end_id` after each, and the documents' offsets.
+
+        A very long text is encoded a window at a time, cut at white space; what has none is one word, however long.
+        """
+        if len(offs) == 2 and len(buf) > 4 * WINDOW:
+            parts, a = [], 0
+            while a < len(buf):
+                z = a + WINDOW
+                while z < len(buf) and not (gap := np.flatnonzero(SPACE[buf[max(a, z - WINDOW) : z]])).size:
+                    z += WINDOW
+                z = max(a, z - WINDOW) + int(gap[-1]) + 1 if z < len(buf) else len(buf)
+                parts.append(self._encode(buf[a:z], np.array([0, z - a]), end_id)[0][:-1])
+                a = z
+            ids = np.concatenate([*parts, np.array([end_id], np.uint32)])
+            return ids, np.array([0, len(ids)])
+        return self._encode(buf, offs, end_id)
+
+    def _encode(self, buf: np.ndarray, offs: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         if len(buf) > 1 and ((buf[:-1] == ord("<")) & (buf[1:] == ord("|"))).any():
             starts, ends, first = words(buf, offs)  # a special token may stand here: whole words, as they are
         else:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kernels import LOWER, U, mix, prefix_hash, slices, span_hash, words
+from .kernels import LOWER, U, WINDOW, mix, prefix_hash, slices, span_hash, word_hashes, words
 from .samples import labelled_texts, remainder
 
 #: Hashed features; weights are a table of this length, most of it zero.
@@ -18,6 +18,7 @@ BITS = 20
 SAMPLE_ROWS = 4000
 _PLAIN = np.zeros(256, bool)
 _PLAIN[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+_TABLE = np.where(_PLAIN, LOWER, np.uint8(32))
 
 
 def features(buf: np.ndarray, offs: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
@@ -25,10 +26,13 @@ def features(buf: np.ndarray, offs: np.ndarray, bits: int = BITS) -> tuple[np.nd
 
     Per word: itself, the pair with its successor, and the pair that skips one word.
     """
-    plain = np.where(_PLAIN[buf], LOWER[buf], np.uint8(32))
+    plain = _TABLE[buf]
     starts, ends, first = words(plain, offs)
     h = span_hash(prefix_hash(plain), starts, ends)
-    doc = np.repeat(np.arange(len(offs) - 1), np.diff(first))
+    return _with_pairs(h, np.repeat(np.arange(len(offs) - 1), np.diff(first)), bits).ravel(), first * 3
+
+
+def _with_pairs(h: np.ndarray, doc: np.ndarray, bits: int) -> np.ndarray:
     n = len(h)
     out = np.empty((n, 3), U)
     out[:, 0] = h
@@ -38,7 +42,15 @@ def features(buf: np.ndarray, offs: np.ndarray, bits: int = BITS) -> tuple[np.nd
             same = doc[:-k] == doc[k:]
             pair = mix(h[:-k] * U(3) + h[k:] * U(0x9E3779B97F4A7C15) + U(k))
             out[:-k, k] = np.where(same, pair, h[:-k])
-    return (out >> U(64 - bits)).astype(np.int64).ravel(), first * 3
+    return (out >> U(64 - bits)).astype(np.int64)
+
+
+def lots(buf: np.ndarray, bits: int = BITS) -> Iterator[np.ndarray]:
+    """The features of one very long text, those of WINDOW words at a time."""
+    h = word_hashes(buf, _TABLE)
+    for i in range(0, len(h), WINDOW):
+        part = h[i : i + WINDOW + 2]
+        yield _with_pairs(part, np.zeros(len(part), np.int64), bits)[: min(WINDOW, len(h) - i)].ravel()
 
 
 def distinct(ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -57,6 +69,9 @@ def fit(texts: list[str], y: np.ndarray, bits: int = BITS, alpha: float = 1.0, b
         return np.zeros(1 << bits, np.float32), (0.0 if not len(y) else (4.0 if y[0] else -4.0))
     rows = []
     for _, _, buf, offs in slices(pa.array(texts, pa.string())):
+        if len(buf) > 4 * WINDOW:
+            rows.append(np.unique(np.concatenate([np.unique(ids) for ids in lots(buf, bits)])))
+            continue
         ids, at = distinct(*features(buf, offs, bits))
         rows += [ids[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
     z, n = np.zeros(1 << bits), np.zeros(1 << bits)
@@ -83,6 +98,10 @@ def score_texts(col: pa.Array, w: np.ndarray, bias: float) -> np.ndarray:
     out = np.empty(len(col))
     live = w != 0
     for i, j, buf, offs in slices(col, 1 << 19):
+        if len(buf) > 4 * WINDOW:
+            hits = np.unique(np.concatenate([np.unique(ids[live[ids]]) for ids in lots(buf, bits)]))
+            out[i] = 1 / (1 + np.exp(-np.clip(w[hits].sum(dtype=np.float64) + bias, -35, 35)))
+            continue
         ids, at = features(buf, offs, bits)
         hit = np.flatnonzero(live[ids])  # few: weights are sparse
         doc = np.searchsorted(at, hit, "right") - 1
@@ -96,8 +115,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, s
     """doc_id, held_out, score (0 to 1) and predicted (score >= threshold) of every whole text.
 
     Learns from at most `sample_rows` texts of each class whose crc32(id) mod 3 is not 1. Null and empty
-    texts have no features and get the bias's score; repeated rows are scored each; empty labels give a
-    score of one half; empty tables give empty results. Columns beside id and text are not read.
+    texts have no features and get the bias's score; very long ones are read a window at a time; repeated rows are scored
+    each; empty labels give a score of one half; empty tables give empty results. Columns beside id and text are not read.
     """
     texts, y = labelled_texts(docs, labels.where(remainder(id_col, 3) != 1), "toxic", sample_rows, id_col, text_col)
     w, bias = fit(texts, y)
