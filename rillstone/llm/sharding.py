@@ -98,7 +98,8 @@ def shard_documents(docs: DataFrame, shards: int = 40, overhead: int = 16, id_co
 
     Returns doc_id, size (UTF-8 bytes of the text plus `overhead`), text_crc32, law ('bytes'), shard,
     slot (gapless from 0 within a shard) and grown_shard (null: only a keyed law has one). A null text
-    has no bytes and goes with the empty ones; repeated rows are rows of their own; null ids are
+    has no bytes and goes with the empty ones; a very long text is a unit's size like any other, and may
+    be a shard of its own; repeated rows are rows of their own, rows that tie in id and size stand in any order; null ids are
     ordinary values; an empty table gives an empty result. Other columns are left out. With fewer
     units than shards the last shards stay empty.
     """
@@ -109,6 +110,7 @@ def shard_documents(docs: DataFrame, shards: int = 40, overhead: int = 16, id_co
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
         F.shiftrightunsigned(F.xxhash64(text), 64 - UNITS.bit_length() + 1).cast("int").alias("unit"),
     )
+    base = keep(base, "rows")  # narrow rows; the texts are read once
     units = keep(base.groupBy("unit").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")), "units")
     plan = keep(units.join(F.broadcast(_plan(units.select("unit", "bytes"), shards)), "unit"), "shards")  # UNITS rows at most
     # slots: blocks of rows within a unit, so that a unit with a third of all rows is ranked in many tasks
