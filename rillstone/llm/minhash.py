@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,8 @@ ROWS, MISS = 6, 1.2e-5  # independent samples of a band key; how often a pair ri
 SAMPLES, BITS = 512, 1024  # bottom samples, a whole set if it has no more, folded into a sketch of BITS parities
 #: Standard errors that a sampled estimate may lie off before a pair is left unconfirmed.
 SIGMAS = 5.0
+#: Rounds of hubs at most, and pairs left apart per bucket entry beyond which a further round comes.
+MOST_HUBS, HUB_WORK = 6, 8
 
 
 def bands_for(percent: int) -> int:
@@ -99,7 +102,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5, hub_round
     Two texts are linked if 100 * intersection >= percent * union of their shingle sets, confirmed on the
     full sets. Texts with fewer words than a shingle are one shingle; texts without words, nulls included,
     have no set and are linked with nothing. Repeated rows of an id are one node; null ids and empty tables
-    give no links. Other columns are left out.
+    give no links. Very long texts are shingled whole, a window at a time; a bucket's ties go to the smaller id. Other columns are left out.
     """
 
     bands = bands_for(percent)
@@ -160,18 +163,26 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5, hub_round
         return out
 
     # hubs first: each round is linear in the bucket
-    tried = links = label = None
+    tried = label = None
     left = entries.withColumn("part", F.col("id")).withColumn("loose", F.lit(True))
-    for _ in range(hub_rounds):
+
+    def united(found: DataFrame) -> DataFrame:
+        """Components of all links so far: those known already stand for the links that made them."""
+        known = [] if label is None else [label.where("id <> component_id").select(F.col("id").alias("a"), F.col("component_id").alias("b"))]
+        return keep(components(reduce(DataFrame.unionByName, known, found)), "parts")
+
+    for turn in range(MOST_HUBS):
+        if turn >= hub_rounds:  # as long as what is left apart would meet many others
+            work = left.groupBy("key").agg(F.count_if("loose").alias("l"), F.count(F.lit(1)).alias("c")).agg(F.sum(F.col("l") * F.col("c")), F.sum("c")).first()
+            if (work[0] or 0) <= HUB_WORK * (work[1] or 0):
+                break
         hub = left.where("loose").groupBy("key").agg(F.max(F.struct("rank", (-F.col("id")).alias("m"), "part")).alias("h"))
         hub = keep(hub.select("key", (-F.col("h.m")).alias("hub"), F.col("h.part").alias("hub_part")), "hubs")
         pairs = left.join(hub, "key").where("id <> hub and part <> hub_part").select("hub", F.col("id").alias("other"))
         pairs = keep((pairs.distinct() if tried is None else pairs.distinct().join(tried, ["hub", "other"], "left_anti")), "pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
         tried = tried.unionByName(pairs.select(F.col("other").alias("hub"), F.col("hub").alias("other")))
-        found = confirm(pairs)
-        links = found if links is None else links.unionByName(found)
-        label = keep(components(links), "parts")
+        label = united(confirm(pairs))
         left = still_apart(left, label)
     # then what hubs left apart, each loose node against the bucket's other components: few by now
     side = facts.select("id", "n", "odd", "keys")
@@ -182,7 +193,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5, hub_round
     rest = keep(rest.select(F.col("id_x").alias("hub"), F.col("id_y").alias("other")).distinct().join(tried, ["hub", "other"], "left_anti"), "rest")
     found = confirm(rest)
     if found.limit(1).count():
-        label = keep(components(links.unionByName(found)), "parts")
+        label = united(found)
     # only signatures, nodes and components are read from here on
     for done in (grams, entries, facts, rest, found, left):
         forget(done)
