@@ -46,7 +46,7 @@ class ByteNet:
     def windows(self, data: np.ndarray) -> np.ndarray:
         flat = self.p["emb"][data].ravel()
         n = (len(data) - WIDTH) // STRIDE
-        return np.lib.stride_tricks.as_strided(flat, (n, WIDTH * DIMS), (4 * STRIDE * DIMS, 4), writeable=False)
+        return np.lib.stride_tricks.as_strided(flat, (n, WIDTH * DIMS), (flat.itemsize * STRIDE * DIMS, flat.itemsize), writeable=False)
 
     def halves(self, win: np.ndarray, last: np.ndarray, where: bool = False):
         """Maxima over the windows of each half-chunk; with `where` also which windows they come from.

@@ -128,6 +128,36 @@ def test_mixing(spark):
     assert mix_documents(docs(spark, [None, ""])).agg(F.sum("taken")).first()[0] == 0
 
 
+@pytest.mark.parametrize("given", [False, True])
+def test_mixing_takes_the_smallest_keys(spark, monkeypatch, given):
+    """Which documents are taken, held against plain Efraimidis-Spirakis sampling."""
+    import xxhash
+
+    from rillstone.llm import mixing
+
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 7)
+    monkeypatch.setattr(mixing, "BLOCK_RANGES", 3)
+    r = random.Random(22)
+    source = [r.choice(["a", "b", "c", None]) if i % 3 else "hot" for i in range(700)]
+    texts = [prose(r, r.randrange(0, 30)) for _ in source]
+    weight = [r.choice([0.1, 0.5, 1.0, 2.0, 7.5]) for _ in source]
+    d = docs(spark, texts, source).join(spark.createDataFrame(list(enumerate(weight)), "doc_id long, w double"), "doc_id")
+    got = {x["doc_id"]: x["copies"] for x in mixing.mix_documents(d, quality_col="w" if given else None).collect()}
+    size = [len(t.split()) for t in texts]
+    q = weight if given else [1 / (1 + abs(len(t) / max(1, n) - 6) / 6) for t, n in zip(texts, size)]
+    little = lambda v, n: v.to_bytes(n, "little")
+    u = [((xxhash.xxh64_intdigest(little(i, 8), xxhash.xxh64_intdigest(little(42, 4), 42)) >> 11) + 0.5) * 2.0**-53 for i in range(len(texts))]
+    key = [-math.log(a) / b for a, b in zip(u, q)]
+    per = {s: sum(n for n, t in zip(size, source) if t == s) for s in set(source)}
+    for s, target in fair_targets(per, (1, 2, 3)).items():
+        own = sorted((k for k in range(len(texts)) if source[k] == s), key=lambda k: key[k])
+        epochs = int(target / per[s] + 1e-12)
+        rest, before = target - epochs * per[s], 0
+        for k in own:
+            before += size[k]
+            assert got[k] == min(3, epochs + (before - size[k] / 2 <= rest)), (s, k)
+
+
 def test_mixing_stops_at_three_times(spark):
     from rillstone.llm.mixing import mix_documents
 
@@ -494,9 +524,223 @@ def test_language(spark):
     assert [tuple(r)[2:] for r in nothing] == [("und", 0.0)]
 
 
+def test_ftrl_against_a_plain_version():
+    from rillstone.llm import toxicity
+
+    r = random.Random(31)
+    texts = [prose(r, r.randrange(0, 12), 15) + (" Bad, thing!" if i % 3 == 0 else "") for i in range(120)]
+    y = np.array([float(i % 3 == 0) for i in range(120)])
+    w, bias = toxicity.fit(texts, y, bits=12, l1=0.5, epochs=3)
+    rows = []
+    for t in texts:
+        buf = np.frombuffer(t.encode(), np.uint8)
+        ids, _ = toxicity.features(buf, np.array([0, len(buf)]), 12)
+        words = "".join(c if c.isalnum() else " " for c in t.lower()).split()
+        assert len(ids) == 3 * len(words)
+        rows.append(sorted(set(ids.tolist())))
+    z, n, b, b_n = {}, {}, 0.0, 1e-3
+    weight = lambda k: 0.0 if abs(z.get(k, 0)) <= 0.5 else -(z[k] - math.copysign(0.5, z[k])) / (1 + math.sqrt(n[k]) + 0.05)
+    for _ in range(3):
+        for ids, label in zip(rows, y):
+            own = {k: weight(k) for k in ids}
+            g = (0.5 / y.mean() if label else 0.5 / (1 - y.mean())) * (1 / (1 + math.exp(-(sum(own.values()) + b))) - label)
+            for k in ids:
+                old = n.get(k, 0.0)
+                n[k] = old + g * g
+                z[k] = z.get(k, 0.0) + g - (math.sqrt(n[k]) - math.sqrt(old)) * own[k]
+            b_n += g * g
+            b -= 0.1 * g / math.sqrt(b_n)
+    want = np.zeros(1 << 12)
+    for k in z:
+        want[k] = weight(k)
+    np.testing.assert_allclose(w, want, rtol=1e-4, atol=1e-6)
+    assert bias == pytest.approx(b, rel=1e-9)
+    import pyarrow as pa
+
+    score = [1 / (1 + math.exp(-(sum(float(w[k]) for k in ids) + bias))) for ids in rows]
+    np.testing.assert_allclose(toxicity.score_texts(pa.array(texts), w, bias), score, rtol=1e-5)
+
+
+def test_svm_against_a_plain_version():
+    from rillstone.llm import language
+
+    r = np.random.default_rng(32)
+    x = r.normal(size=(60, 8)).astype(np.float32)
+    y = np.where(x[:, 0] + 0.3 * x[:, 1] > 0.2, 1, -1)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    got = language.linear_svm(x, y, epochs=400)
+    cost = np.where(y > 0, 2 / (y > 0).mean(), 2 / (y < 0).mean())
+    # the same problem by plain gradient descent: |w|^2 / 2 + sum of cost * max(0, 1 - y (wx + b))^2, the bias among the weights
+    full, w = np.hstack([x.astype(float), np.ones((60, 1))]), np.zeros(9)
+    for _ in range(60_000):
+        slack = np.maximum(0, 1 - y * (full @ w))
+        w -= 1e-3 * (w - 2 * (full.T @ (cost * slack * y)))
+    np.testing.assert_allclose(got, w, rtol=2e-2, atol=2e-2)
+
+
+def test_languages_against_plain_duels():
+    import pyarrow as pa
+
+    from rillstone.llm import language
+    from rillstone.llm.kernels import raw_column
+
+    r = random.Random(33)
+    langs = ["en", "de", "nl", "fr", "es", "xx"]
+    texts = [" ".join(f"{v[0]}{v[1]}{r.randrange(6)}{v}" if r.random() < 0.7 else f"w{r.randrange(9)}" for _ in range(12)) for v in langs for _ in range(12)]
+    model = language.Languages(texts, [v for v in langs for _ in range(12)])
+    buf, offs = raw_column(pa.array(texts))
+    pick, score = model.predict(buf, offs)
+    chance = lambda m: 1 / (1 + math.exp(-max(-35, min(35, 3 * m))))
+    for i in range(len(texts)):
+        x = language.features(np.frombuffer(texts[i].encode(), np.uint8), np.array([0, len(texts[i])]))[0].astype(float)
+        outer = [float(x @ w[:-1] + w[-1]) for w in model.outer]
+        f = max(range(len(outer)), key=lambda k: outer[k])
+        duels = {k: [] for k in model.members[f]}
+        for (a, b), w in zip(model.pairs, model.inner):
+            if a in duels:
+                p = chance(float(x @ w[:-1] + w[-1]))
+                duels[a].append(p)
+                duels[b].append(1 - p)
+        best = max(duels, key=lambda k: sum((q > 0.5) + q / 1000 for q in duels[k]))
+        assert pick[i] == best and model.names[best] in langs
+        assert score[i] == pytest.approx(chance(outer[f]) * min(duels[best], default=1.0), rel=1e-4)
+
+
+def plain_byte_net(p, raw):
+    from rillstone.llm.quality import FILTERS, HALF, STRIDE, WIDTH
+
+    halves = max(1, -(-len(raw) // HALF))
+    data = raw + bytes(halves * HALF - len(raw))
+    best = []
+    for h in range(halves):
+        values = []
+        for at in range(h * HALF, (h + 1) * HALF, STRIDE):
+            if at + WIDTH <= len(data):
+                values.append(np.concatenate([p["emb"][b] for b in data[at : at + WIDTH]]) @ p["filt"])
+        best.append(np.maximum(np.max(values, axis=0) + p["fb"], 0))
+    chunks = [np.maximum(best[k], best[k + 1]) if k + 1 < halves else best[k] for k in range(halves)]
+    z = np.concatenate([np.mean(chunks, axis=0), np.max(chunks, axis=0)]) @ p["out"] + p["ob"][0]
+    assert len(best[0]) == FILTERS
+    return 1 / (1 + math.exp(-z))
+
+
+def test_byte_net_against_plain_loops():
+    import pyarrow as pa
+
+    from rillstone.llm.kernels import raw_column
+    from rillstone.llm.quality import ByteNet
+
+    r = np.random.default_rng(34)
+    net = ByteNet()
+    net.p = {k: r.normal(0, 0.3, v.shape) for k, v in net.p.items()}
+    texts = ["", "a", "short text", prose(random.Random(1), 60), prose(random.Random(2), 200), "x" * 256, "y" * 260]
+    buf, offs = raw_column(pa.array(texts))
+    want = [plain_byte_net(net.p, t.encode()) for t in texts]
+    np.testing.assert_allclose(net.predict(buf, offs), want, rtol=1e-9)
+    y, cost = np.array([0, 1, 1, 0, 1, 0, 1.0]), np.array([1, 0.5, 1, 1, 2, 1, 1.0])
+
+    def loss():
+        p = net.predict(buf, offs)
+        return -(cost * (y * np.log(p) + (1 - y) * np.log(1 - p))).mean()
+
+    grads = net.gradients(buf, offs, y, cost)
+    for name, v in net.p.items():
+        for at in [tuple(r.integers(s) for s in v.shape) for _ in range(12)] + ([(120, 3), (32, 0), (119, 5)] if name == "emb" else []):
+            old, step = v[at], 1e-5
+            v[at] = old + step
+            up = loss()
+            v[at] = old - step
+            down = loss()
+            v[at] = old
+            assert grads[name][at] == pytest.approx((up - down) / (2 * step), rel=2e-3, abs=2e-6), (name, at)
+
+
+def test_windows_change_nothing(spark, monkeypatch):
+    import pyarrow as pa
+
+    from rillstone.llm import kernels, language, packing, quality, toxicity
+    from rillstone.llm.queries import tokenizer
+
+    r = random.Random(35)
+    texts = [prose(r, 900, 60) + " é Ünd " + "long" * 60, "", "k" * 700, prose(r, 400, 9) + "   ", "1 2 3 " * 300 + "ß"]
+    w = np.random.default_rng(1).normal(size=1 << 20).astype(np.float32) * 0.01
+    tok, net = packing.WordTokens(tokenizer("word_bpe_49k.json")), quality.ByteNet()
+    net.p["out"] = np.random.default_rng(2).normal(size=net.p["out"].shape).astype(np.float32)
+
+    def everything():
+        out = []
+        for t in texts:
+            buf, offs = kernels.raw_column(pa.array([t]))
+            out += [toxicity.score_texts(pa.array([t]), w, 0.1), language.features(buf, offs)[0], net.predict(buf, offs), language.has_letter(pa.array([t])), tok.encode(buf, offs, 0)[0], kernels.shingles(buf, offs)[0]]
+        return out
+
+    whole = everything()
+    for module in (kernels, language, packing, quality, toxicity):
+        monkeypatch.setattr(module, "WINDOW", 256)
+    for a, b in zip(whole, everything(), strict=True):
+        np.testing.assert_allclose(a, b, rtol=1e-5)
+
+
+LONG_TEXT = """
+import resource, sys
+import numpy as np, pyarrow as pa
+from rillstone.llm import kernels, language, minhash, packing, quality, suffixes, toxicity
+from rillstone.llm.queries import tokenizer
+r = np.random.default_rng(1)
+words = np.array([f"w{k}" + "x" * (k % 7) for k in range(50_000)])
+text = " ".join(words[r.integers(50_000, size=MB * 130_000)])[: MB << 20]
+col = pa.array([text.encode()], pa.binary()); del text
+op = sys.argv[1]
+if op == "op1":
+    toxicity.score_texts(col, r.normal(size=1 << 20).astype(np.float32), 0.0)
+for i, j, buf, offs in kernels.slices(col, 1 << 19):
+    if op == "op6":
+        minhash.signatures(buf, offs, 5, minhash.bands_for(80))
+    if op == "op7":
+        language.Languages(["a b c"] * 3 + ["x y z"] * 3, ["en"] * 3 + ["fr"] * 3).predict(buf, offs)
+    if op == "op9":
+        packing.WordTokens(tokenizer("word_bpe_49k.json")).encode(buf, offs, 0)
+    if op == "op10":
+        quality.ByteNet().predict(buf, offs)
+if op == "op4":
+    tag = np.zeros(1, np.uint32)
+    runs = np.concatenate([suffixes.runs_of(b, o, np.zeros(1, np.int64), tag, 100, base, own) for _, _, b, o, base, own in kernels.stretches(col, 1 << 19, 99)])
+    one, single, _ = suffixes.meet(runs); del runs, one
+    asked = suffixes.marks(single, True); asked["tie"] = suffixes.ties(*kernels.raw_column(col))[0]
+    parts = list(suffixes.pieces_of(pa.table({"doc_id": pa.array([0]), "text": col}), asked, 100, np.zeros(0, np.uint64), 0))
+    suffixes.repeats_among(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), 100)
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss >> 10)
+"""
+
+
+@pytest.mark.parametrize("op", ["op1", "op4", "op6", "op7", "op9", "op10"])
+def test_a_text_of_64_mb_keeps_memory(op):
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", LONG_TEXT.replace("MB", "64"), op], capture_output=True, text=True, timeout=600, env=os.environ | {"PYTHONPATH": root})
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert int(out.stdout) < 1500
+
+
 # ---------------------------------------------------------------- pipeline
 
 
+def test_pipeline_keeps_texts_of_one_id_apart(spark):
+    import corpus_pipeline as p
+
+    r = random.Random(36)
+    a, b, c, e = (prose(r, 80, 5000) for _ in range(4))
+    near = " ".join(a.split()[:-1])
+    d = docs(spark, [a, near, b, c, c, e, e, None], ids=[1, 2, 2, 3, 3, None, 4, 5])
+    got = sorted((x["doc_id"], x["text"] or "") for x in p.STAGES[1][1](spark, d, SF).collect())
+    assert got == sorted([(1, a), (2, b), (3, c), (4, e), (5, "")])
+    mixed = p.STAGES[3][1](spark, docs(spark, [a, b, c, e], ids=[None, None, 7, 7]), SF).groupBy("text").count().collect()
+    assert {x["text"]: x["count"] for x in mixed} == {a: 1, b: 1, c: 1, e: 1}
+
+
 def test_language_learns_every_language(spark):
     from rillstone.llm.language import identify
 
@@ -541,7 +785,7 @@ def test_pipeline_stages_on_odd_rows(spark):
     first = p.STAGES[0][1](spark, both, SF).where("doc_id is null or doc_id >= 1000000")
     assert first.count() == 22
     second = p.STAGES[1][1](spark, d, SF)
-    assert second.where("doc_id is null").count() == 2 and second.count() == 23
+    assert second.where("doc_id is null").count() == 2 and second.count() == 24  # both rows of id 3: their texts differ
     assert p.STAGES[2][1](spark, d, SF).where("doc_id is null").count() == 2
     assert p.STAGES[3][1](spark, d, SF).count() >= 1
 
