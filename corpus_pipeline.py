@@ -32,26 +32,34 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (`NEAR_PERCENT` of five-word shingles) stays: the one with the smallest id."""
-    docs = docs.select(*COLUMNS)
-    gone = near_duplicates(docs, percent=NEAR_PERCENT, size=5).where("not kept").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti")
-    # repeated rows of an id are one document; rows without an id are documents of their own
-    own = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
-    return left.withColumn("_own", own).dropDuplicates(["doc_id", "_own"]).select(*COLUMNS)
+    """One document of each group of near copies (`NEAR_PERCENT` of five-word shingles) stays: the one with the smallest id.
+
+    Rows are judged each, whatever their ids: several texts of one id are several documents, rows without an id come last
+    in their group, and of equal rows one stays. Texts without words belong to no group.
+    """
+    rows = docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row"))
+    found = near_duplicates(rows.select("_row", "text"), percent=NEAR_PERCENT, size=5, id_col="_row").select(F.col("doc_id").alias("_row"), "component_id")
+    named = keep(found.join(rows.select("_row", "doc_id"), "_row"), "groups")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("_row"))).alias("first")
+    stays = named.groupBy("component_id").agg(first, F.count(F.lit(1)).alias("n")).where("n > 1").select("component_id", F.col("first._row").alias("stays"))
+    gone = named.join(stays, "component_id").where("_row <> stays").select("_row")
+    return rows.join(gone, "_row", "left_anti").select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 100 bytes or more that stand earlier in the corpus leave the texts; texts left empty go."""
+    """Passages of 100 bytes or more that stand earlier in the corpus leave the texts; texts left empty, and null ones, go.
+
+    Several texts of one id are several documents; rows without an id keep their texts.
+    """
     cut = remove_repeats(docs.select(*COLUMNS), digests=False)
     return cut.withColumn("n_chars", F.char_length("text").cast("long")).where("length(btrim(text)) > 0").select(*COLUMNS)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as many times as the mix takes it."""
-    docs = docs.select(*COLUMNS)
-    taken = mix_documents(docs).where("copies > 0").groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies"))
-    out = docs.join(keep(taken, "copies"), F.col("doc_id").eqNullSafe(F.col("_id")))
+    """Every document as many times as the mix takes it; each row is a document, whatever its id."""
+    rows = docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row"))
+    taken = mix_documents(rows, carry=("_row",)).where("copies > 0").select("_row", F.col("copies").alias("_copies"))
+    out = rows.join(keep(taken, "copies"), "_row")
     return out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*COLUMNS)
 
 
