@@ -106,17 +106,21 @@ def strip_words(c: Column, words: Sequence[str]) -> Column:
     return F.array_join(F.filter(F.split(collapse(c), " "), lambda w: ~w.isin(*words)), " ")
 
 
-def fixpoint_strip(c: Column, pattern: str, generic: Sequence[str] = (), rounds: int = 4, letter: str = r"[\p{L}]") -> Column:
-    """A trailing pattern goes again and again, but never down to a generic word or to no letter."""
+def fixpoint_strip(c: Column, pattern: str, generic: Sequence[str] = (), letter: str = r"[\p{L}]") -> Column:
+    """A trailing pattern goes again and again until nothing changes, but never down to a generic word or to no letter.
+
+    Every removal shortens the text, so its length bounds them; once nothing changes the pattern isn't tried again.
+    """
 
     def step(a: Column, _: Column) -> Column:
-        cut = F.btrim(F.regexp_replace(a, pattern, ""))
-        ok = cut.rlike(letter)
+        cut = F.btrim(F.regexp_replace(a["text"], pattern, ""))
+        ok = (cut != a["text"]) & cut.rlike(letter)
         if generic:
             ok = ok & ~F.lower(cut).isin(*generic)
-        return F.when(ok, cut).otherwise(a)
+        return F.when(a["done"], a).otherwise(F.when(ok, F.struct(cut.alias("text"), F.lit(False).alias("done"))).otherwise(F.struct(a["text"].alias("text"), F.lit(True).alias("done"))))
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), collapse(c), step)
+    tidy = collapse(c)
+    return F.when(c.isNotNull(), F.aggregate(F.sequence(F.lit(0), F.char_length(tidy)), F.struct(tidy.alias("text"), F.lit(False).alias("done")), step, lambda a: a["text"]))
 
 
 def prefix_len(a: Column, b: Column) -> Column:
@@ -134,16 +138,19 @@ def split_tail(c: Column, separator: str = ",") -> tuple[Column, Column]:
     return F.btrim(F.substring_index(c, separator, 1)), F.btrim(F.substring_index(c, separator, -1))
 
 
-def keyword_cut(c: Column, keywords: Sequence[str]) -> Column:
-    """What follows the right-most end of any keyword; empty without one."""
+def keyword_cut(c: Column, keywords: Sequence[str], before: bool = False) -> Column:
+    """What follows the right-most end of any keyword, or (before) all up to that end; empty without one."""
     end = lambda k: F.when(F.contains(c, k), F.char_length(c) - F.instr(F.reverse(c), F.reverse(k)) + 1)
     ends = F.array_compact(F.transform(F.array(*[F.lit(k) for k in keywords]), end))
-    return F.when(F.size(ends) > 0, F.btrim(F.substr(c, F.array_max(ends) + 1))).otherwise(F.lit(""))
+    kept = F.left(c, F.array_max(ends)) if before else F.substr(c, F.array_max(ends) + 1)
+    return F.when(F.size(ends) > 0, F.btrim(kept)).otherwise(F.lit(""))
 
 
-def clean_area(c: Column, words: Sequence[str]) -> Column:
-    """A place left over from an address: dots and listed words go, as do unbalanced brackets; no letter, nothing."""
-    t = strip_charset(F.regexp_replace(strip_words(F.regexp_replace(c, "[.।,]", " "), words), r"\(\s*\)", " "), "-, ")
+def clean_area(c: Column, words: Sequence[str], rooms: Sequence[str] = (), tail: str | None = None) -> Column:
+    """A place left over from an address: rooms (patterns), dots and listed words go, as do number tails and unbalanced
+    brackets; no letter, nothing."""
+    t = strip_charset(F.regexp_replace(strip_words(F.regexp_replace(regex_strip(c, rooms) if rooms else c, "[.।,]", " "), words), r"\(\s*\)", " "), "-, ")
+    t = fixpoint_strip(t, tail) if tail else t
     count = lambda x: F.char_length(t) - F.char_length(F.replace(t, F.lit(x), F.lit("")))
     t = F.when(count("(") != count(")"), collapse(F.translate(t, "()", "  "))).otherwise(t)
     return F.when(t.rlike(r"[\p{L}]"), t).otherwise(F.lit(""))
@@ -155,12 +162,11 @@ def stem_number(path: Column) -> Column:
 
 
 def range_list(c: Column) -> Column:
-    """'1-3,7' as [1, 2, 3, 7]; null and empty give none."""
-    one = lambda x: F.when(
-        F.contains(x, F.lit("-")), F.sequence(F.split_part(x, F.lit("-"), F.lit(1)).try_cast("bigint"), F.split_part(x, F.lit("-"), F.lit(2)).try_cast("bigint"))
-    ).otherwise(F.array(x.try_cast("bigint")))
-    parts = F.filter(F.split(F.regexp_replace(F.coalesce(c, F.lit("")), r"\s", ""), ","), lambda x: x != "")
-    return F.flatten(F.transform(parts, one))
+    """'1-3,7' as [1, 2, 3, 7]; a range from a larger to a smaller number is empty, and chunks that are no numbers give none."""
+    a, b = (lambda x: F.split_part(x, F.lit("-"), F.lit(1)).try_cast("bigint")), (lambda x: F.split_part(x, F.lit("-"), F.lit(2)).try_cast("bigint"))
+    none = F.array().cast("array<bigint>")
+    one = lambda x: F.when(~F.contains(x, F.lit("-")), F.array_compact(F.array(x.try_cast("bigint")))).when(a(x) <= b(x), F.sequence(a(x), b(x))).otherwise(none)
+    return F.flatten(F.transform(F.split(F.regexp_replace(F.coalesce(c, F.lit("")), r"\s", ""), ","), one))
 
 
 def integer_list(c: Column) -> Column:
@@ -168,8 +174,13 @@ def integer_list(c: Column) -> Column:
     return F.transform(F.regexp_extract_all(c, F.lit(r"\d+"), F.lit(0)), lambda x: x.try_cast("bigint"))
 
 
-def qualified(name: Column, qualifier: Column, summary: str = "etc") -> Column:
-    """name (qualifier), unless the qualifier is empty, a list, a summary or the name itself."""
+def qualified(name: Column, qualifier: Column, summary: str = "etc", tail: str | None = None, like: Column | None = None) -> Column:
+    """name (qualifier), unless the qualifier is empty, a list, a summary, the name itself or, as `like` says, similar to it.
+
+    With `tail`, a pattern, the qualifier's number tails go first.
+    """
     q = strip_charset(qualifier)
+    q = fixpoint_strip(q, tail) if tail else q
     skip = q.isNull() | (q == "") | F.contains(q, F.lit("/")) | F.contains(q, F.lit(summary)) | (q == name)
+    skip = skip if like is None else skip | F.coalesce(like, F.lit(False))
     return F.when(skip, name).otherwise(F.concat(name, F.lit(" ("), q, F.lit(")")))

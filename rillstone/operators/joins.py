@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sequences import ordinal
+
 #: Rows that a lookup side may have to be broadcast.
 SMALL = 10_000
 
@@ -16,8 +18,16 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
 
 
-def pending_work(planned: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return planned.join(done.select(*keys).distinct(), list(keys), "left_anti")
+def pending_work(planned: DataFrame, done: DataFrame, keys: Sequence[str], size: str | None = None) -> DataFrame:
+    """What is planned and not done; with `size`, a column of `done`, an empty result counts as not done."""
+    full = done if size is None else done.where(F.col(size) > 0)
+    return planned.join(full.select(*keys).distinct(), list(keys), "left_anti")
+
+
+def subset(df: DataFrame, wanted: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """The rows whose key is wanted, and the wanted keys that no row has."""
+    keys = wanted.select(key).distinct()
+    return df.join(keys, key, "left_semi"), keys.join(df.select(key), key, "left_anti")
 
 
 def map_lookup(df: DataFrame, mapping: DataFrame, column: str, source: str = "variant", target: str = "standard") -> DataFrame:
@@ -45,13 +55,21 @@ def band_join(a: DataFrame, b: DataFrame, left: str, right: str, width: int, on:
     return x.join(y, cond).drop("_k", "_l")
 
 
-def tiered_lookup(queries: DataFrame, table: DataFrame, query: str, name: str, order: str) -> DataFrame:
-    """For each query the table's first row by (exact match, then containment, then order)."""
-    q, n = F.col(query), F.col(name)
-    hits = queries.join(small(table), F.contains(F.lower(n), F.lower(q)))
-    tier = F.when(F.lower(n) == F.lower(q), 0).otherwise(1)
-    w = Window.partitionBy(query).orderBy("_tier", order)
-    return hits.withColumn("_tier", tier).withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r", "_tier")
+def tiered_lookup(queries: DataFrame, table: DataFrame, query: str, name: str, order: str, gram: int = 3) -> DataFrame:
+    """For each query the table's first row by (exact match, then containment, then order), whatever the case.
+
+    A query meets the names that hold its first `gram` characters, by an equi-join on runs of characters; a blank query
+    meets none.
+    """
+    key = F.left(F.lower(query), F.lit(gram))
+    low = F.lower(name)
+    starts = F.sequence(F.lit(1), F.char_length(low))
+    grams = F.array_distinct(F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(gram), F.char_length(low) - i + 1)), lambda k: F.substr(low, i, k)))))
+    names = table.where(F.char_length(name) > 0).withColumn("_gram", F.explode(grams))
+    hits = queries.where(F.char_length(query) > 0).withColumn("_key", key).join(names, F.col("_key") == F.col("_gram")).where(F.contains(F.lower(name), F.lower(query)))
+    best = F.struct(F.when(F.lower(name) == F.lower(query), 0).otherwise(1).alias("tier"), F.col(order).alias("at"))
+    fields = [c for c in table.columns if c not in queries.columns]
+    return hits.groupBy(*queries.columns).agg(F.min_by(F.struct(*fields), best).alias("_b")).select(*queries.columns, *[F.col(f"_b.{f}").alias(f) for f in fields])
 
 
 def coverage(expected: DataFrame, present: DataFrame, group: str, key: str) -> DataFrame:
@@ -76,10 +94,24 @@ def manifest_upsert(state: DataFrame, news: DataFrame, key: str = "key") -> Data
     return state.unionByName(news).groupBy(key).agg(F.max("done").alias("done"), F.sum("attempts").alias("attempts"))
 
 
+def within(a: DataFrame, b: DataFrame, key: str) -> bool:
+    """Whether all keys of a are keys of b."""
+    return a.select(F.col(key)).join(b.select(F.col(key)), key, "left_anti").where(F.col(key).isNotNull()).isEmpty()
+
+
 def same_keys(a: DataFrame, b: DataFrame, key: str) -> bool:
     """Whether two tables hold the same set of keys, as a cache must to stay valid."""
-    x, y = a.select(F.col(key)), b.select(F.col(key))
-    return not x.subtract(y).limit(1).count() and not y.subtract(x).limit(1).count()
+    return within(a, b, key) and within(b, a, key)
+
+
+def most_missing(groups: DataFrame, missing: str, order: str, name: str = "place") -> DataFrame:
+    """Groups by falling number of missing keys, ties in the order given, numbered from 1."""
+    return ordinal(groups.withColumn("_less", -F.col(missing)), ["_less", order], name).drop("_less")
+
+
+def next_attempts(state: DataFrame, key: str = "key", name: str = "place") -> DataFrame:
+    """What is not done, the least attempted first, numbered from 1."""
+    return ordinal(state.where("not done"), ["attempts", key], name)
 
 
 def header_to_detail(details: DataFrame, headers: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sequences import batching
+
 
 def parse_rule(rule: str, conf: str = "conf", flags: str = "flags", differs: str = "differs", numeric: bool = False) -> Column:
     """A comma list of terms, any of which selects a row: conf<N, flags:TEXT (substring), disagree, all.
@@ -40,3 +43,8 @@ def field_accuracy(read: DataFrame, truth: DataFrame, key: str, fields: dict[str
     other = truth.select(F.col(key), *[F.col(f).alias(f"_{f}") for f in fields])
     rates = [F.round(F.avg((F.col(f) == F.col(f"_{f}")).cast("int")), 4).alias(n) for f, n in fields.items()]
     return read.join(other, key).agg(*rates, F.count(F.lit(1)).alias("n"))
+
+
+def retry_batches(df: DataFrame, rule: str, order: Sequence[str], size: int, **columns: str | bool) -> DataFrame:
+    """The rows that a rule selects, once more in batches of `size`."""
+    return batching(df.where(parse_rule(rule, **columns)), order, size)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -97,11 +98,14 @@ def sequence_fit(df: DataFrame, page: str, order: str, read: str, least: int = 3
     return d.withColumn("fitted", fit).withColumn("flag", F.coalesce(flag, F.lit(""))).drop("_i", "_base")
 
 
-def vote_repair(df: DataFrame, page: str, code: str, order: str, head: int = 3, least: int = 3, most: int = 2) -> DataFrame:
+#: Fixed value: the form of a code that was read whole.
+CODE_FORM = r"^[A-Z]{2,4}[0-9]{6,9}$"
+
+
+def vote_repair(df: DataFrame, page: str, code: str, order: str, head: int = 3, least: int = 3, most: int = 2, form: str = CODE_FORM) -> DataFrame:
     """Codes repaired by their page: glyphs by zone, then rare heads to the unique nearest frequent one."""
     from rillstone.functions.text import positional_repair
 
-    form = r"^[A-Z]{2,4}[0-9]{6,9}$"
     d = df.withColumn("_raw", F.coalesce(code, F.lit(""))).withColumn("_c", positional_repair(F.col("_raw"), head))
     good = d.where(F.col("_c").rlike(form)).select(page, order, F.left("_c", F.lit(head)).alias("_h"), (F.char_length("_c") - head).alias("_len"))
     common = good.groupBy(page, "_h").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least).groupBy(page).agg(F.array_sort(F.collect_set("_h")).alias("_common"))
@@ -128,18 +132,33 @@ def vote_repair(df: DataFrame, page: str, code: str, order: str, head: int = 3,
     return d.withColumn("repaired", fixed).withColumn("flags", F.array_join(flags, ";")).drop("_raw", "_c", "_common", "_modal", "_head", "_tail")
 
 
-def capacity_chunks(df: DataFrame, part: str, order: str, size: str, cap: Column) -> DataFrame:
-    """Rows of a part filled in order into chunks of at most `cap`; a row above it is a chunk of its own.
+def capacity_chunks(df: DataFrame, part: str, order: str, size: str, cap: float, label: str | None = None, name: str = "chunk") -> DataFrame:
+    """Parts of at most `cap` stay whole; larger ones are cut where the label changes (a blank joins what is before it), and
+    a piece that is still larger is filled in order into chunks of at most `cap`; a row above it is a chunk of its own.
 
-    The fold runs over one part's array, so a part must fit a task.
+    Sums and cuts are aggregates and windows; only a piece above `cap` is filled row by row, in one task.
     """
-    rows = df.groupBy(part).agg(F.array_sort(F.collect_list(F.struct(order, size))).alias("_rows"))
-    start = F.struct(F.lit(0).alias("n"), F.lit(None).cast("double").alias("used"), F.array().cast("array<int>").alias("out"))
-
-    def step(a: Column, x: Column) -> Column:
-        new = a["used"].isNull() | (a["used"] + x[size] > cap)
-        n = F.when(new, a["n"] + 1).otherwise(a["n"])
-        return F.struct(n.alias("n"), F.when(new, x[size].cast("double")).otherwise(a["used"] + x[size]).alias("used"), F.concat(a["out"], F.array(n)).alias("out"))
-
-    folded = rows.select(part, F.arrays_zip("_rows", F.aggregate("_rows", start, step, lambda a: a["out"]).alias("chunk")).alias("_z"))
-    return folded.select(part, F.explode("_z").alias("z")).select(part, F.col(f"z._rows.{order}").alias(order), F.col(f"z._rows.{size}").alias(size), F.col("z.chunk").alias("chunk"))
+    blank = F.when(F.col(label).cast("string") != "", F.col(label)) if label else F.lit(None).cast("string")
+    d = islands(df.withColumn("_label", blank), part, order, "_label", "_piece").drop("_label")
+    of_part = d.groupBy(F.col(part).alias("_p")).agg(F.sum(size).alias("_whole"))
+    of_piece = d.groupBy(F.col(part).alias("_q"), F.col("_piece").alias("_r")).agg(F.sum(size).alias("_sum"), F.count(F.lit(1)).alias("_n"))
+    d = d.join(of_part, F.col(part).eqNullSafe(F.col("_p"))).join(of_piece, F.col(part).eqNullSafe(F.col("_q")) & (F.col("_piece") == F.col("_r"))).drop("_p", "_q", "_r")
+    d = keep(d.withColumn("_piece", F.when(F.col("_whole") <= cap, F.lit(0).cast("long")).otherwise(F.col("_piece"))), "pieces")
+    large = (F.col("_whole") > cap) & (F.col("_sum") > cap) & (F.col("_n") > 1)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema.fields)
+
+    def fill(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order, kind="stable")
+        fills, n, used = [], 0, None
+        for s in pdf[size].tolist():
+            if used is None or used + s > cap:
+                n, used = n + 1, 0.0
+            used += s
+            fills.append(n)
+        return pdf.assign(_fill=fills)
+
+    filled = d.where(large).groupBy(part, "_piece").applyInPandas(fill, f"{fields}, _fill int")
+    both = filled.unionByName(d.where(~large).withColumn("_fill", F.lit(1)))
+    heads = both.groupBy(part, "_piece", "_fill").agg(F.count(F.lit(1)).alias("_rows"))
+    nth = heads.select(F.col(part).alias("_p"), F.col("_piece").alias("_q"), F.col("_fill").alias("_r"), F.row_number().over(Window.partitionBy(part).orderBy("_piece", "_fill")).alias(name))
+    return both.join(nth, F.col(part).eqNullSafe(F.col("_p")) & (F.col("_piece") == F.col("_q")) & (F.col("_fill") == F.col("_r"))).select(*df.columns, name)

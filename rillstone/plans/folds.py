@@ -60,6 +60,26 @@ def club_runs(t):
     return folds.club_runs(_runs(t), "user_id", "first", ["kind"], ["ward"], threshold=1.0).select("user_id", "run", "club")
 
 
+#: The place of the first representative that a run matches, among those of its kind.
+REP = "list_position(list_transform(m.reps, lambda r: r = '' or y.ward = '' or r = y.ward), true)"
+
+
+@query(
+    ANCHORED
+    + f""", y as materialized (select *, row_number() over (partition by user_id, kind order by first) as j from runs),
+m as (
+  select user_id, kind, run, j, first, [ward] as reps, 1 as spot from y where j = 1
+  union all
+  select y.user_id, y.kind, y.run, y.j, y.first, case when {REP} is null then list_append(m.reps, y.ward) else m.reps end, coalesce({REP}, len(m.reps) + 1)
+  from m join y on y.user_id = m.user_id and y.kind = m.kind and y.j = m.j + 1
+)
+select user_id, run, dense_rank() over (partition by user_id order by head) as club from (select *, case when kind = '' then first else min(first) over (partition by user_id, kind, spot) end as head from m)"""
+)
+def club_areas(t):
+    runs = _runs(t).withColumn("wards", F.array().cast("array<string>"))
+    return folds.club_by_area(runs, "user_id", "first", "kind", "ward", "wards", threshold=1.0).select("user_id", "run", "club")
+
+
 NEAR = "(y.kind <> '' and y.first - m.last - 1 <= 20 and m.held + y.size <= 50)"
 
 
@@ -102,6 +122,12 @@ def leader_cluster(t):
     return folds.leader_clusters(rows, "p_brand", "p_partkey", "name", window=400).select("p_partkey", "name", "canonical")
 
 
+@query("select p_brand, string_agg(v, ';' order by f) as kinds from (select p_brand, p_type as v, min(p_partkey) as f from part where p_type <> '' group by all) group by p_brand")
+def fuzzy_distinct(t):
+    got = folds.fuzzy_distinct(t("part"), ["p_brand"], "p_type", "p_partkey", threshold=1.0, name="kinds")
+    return got.select("p_brand", F.array_join("kinds", ";").alias("kinds"))
+
+
 RUNG = "select *, count(*) over (partition by {n}) as c{i}, case when count(*) over (partition by {n}) > 1 and {q} is not null and {q} <> '' and {q} <> {n} then {n} || ' (' || {q} || ')' else {n} end as t{i} from {f}"
 
 
@@ -118,3 +144,33 @@ def _ladder() -> str:
 def dedupe_names(t):
     rows = t("part").select("p_partkey", "p_name", "p_brand", "p_type", F.col("p_size").cast("string").alias("size"))
     return folds.dedupe_names(rows, "p_name", ["p_brand", "p_type", "size"]).select("p_partkey", "label")
+
+
+LISTS = """
+select p_partkey, p_brand, p_size, p_name,
+  case p_partkey % 4 when 0 then [] when 1 then [p_brand] when 2 then [p_brand, p_name] else [p_brand, p_name, p_type, 'x' || p_size] end as places,
+  case p_partkey % 7 when 0 then [] when 1 then ['w' || p_size] when 2 then [p_brand] when 3 then ['a', 'b', 'c', 'd'] else ['w1', 'w' || p_size % 3 + 2] end as wards,
+  case when p_partkey % 3 = 0 then [p_type] else [] end as areas, case when p_partkey % 2 = 0 then 'near ' || p_size else '' end as address
+from part"""
+#: A trailing number goes, as long as a letter stays; a base name here has no more than two.
+TAILED = "case when regexp_matches({x}, '[\\pL].* [0-9]+$') then regexp_replace({x}, '(\\s+[0-9]+)+$', '') else {x} end"
+
+
+@query(f"""
+with x as materialized ({LISTS}), s as (select places[1] as p, count(*) as n from x where len(places) = 1 group by all),
+b as (select x.*, coalesce(s.n > 1, false) as shared, array_to_string(wards, ' / ') as listed from x left join s on len(places) = 1 and s.p = places[1]),
+n as (select *, len(places) = 1 and shared and len(wards) > 3 as many,
+  case when len(places) = 0 then coalesce(wards[1], areas[1], '(unknown)')
+    when len(places) = 1 and shared and len(wards) between 1 and 3 then case when places[1] = 'Brand#1' or places[1] = listed then listed else places[1] || ' ' || listed end
+    when len(places) = 1 then places[1] when len(areas) = 1 then areas[1] when len(places) <= 3 then array_to_string(places, ' / ') else places[1] || ' + ' || (len(places) - 1) end as base from b),
+g as (select *, case when len(places) > 3 and len(areas) <> 1 then base else {TAILED.format(x="base")} end || case when many then ' ' || row_number() over (partition by many, places[1] order by p_partkey) else '' end as named from n),
+c as (select *, count(*) over (partition by named) as times from g)
+select p_partkey, case when times > 1 and len(wards) <> 1 and address <> '' then address else named end as name from c""")
+def name_runs(t):
+    k, size = F.col("p_partkey"), F.col("p_size").cast("string")
+    none = F.array().cast("array<string>")
+    places = F.when(k % 4 == 0, none).when(k % 4 == 1, F.array("p_brand")).when(k % 4 == 2, F.array("p_brand", "p_name")).otherwise(F.array("p_brand", "p_name", "p_type", F.concat(F.lit("x"), size)))
+    second = F.concat(F.lit("w"), (F.col("p_size") % 3 + 2).cast("string"))
+    wards = F.when(k % 7 == 0, none).when(k % 7 == 1, F.array(F.concat(F.lit("w"), size))).when(k % 7 == 2, F.array("p_brand")).when(k % 7 == 3, F.array(*[F.lit(x) for x in "abcd"])).otherwise(F.array(F.lit("w1"), second))
+    runs = t("part").select("p_partkey", places.alias("places"), wards.alias("wards"), F.when(k % 3 == 0, F.array("p_type")).otherwise(none).alias("areas"), F.when(k % 2 == 0, F.concat(F.lit("near "), size)).otherwise("").alias("address"))
+    return folds.name_runs(runs, "p_partkey", "places", "wards", "areas", F.lit("Brand#1"), "address", threshold=1.0, tail=r"\s+[0-9]+$").select("p_partkey", "name")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from rillstone.operators import joins
@@ -131,10 +133,83 @@ def numeric_sort(t):
     return ordinal(c.select("c_custkey", "c_name", "n"), ["n", "c_custkey"], "place").select("c_custkey", "c_name", "place")
 
 
-@query("select regexp_extract(url, '([0-9]+)[^0-9]*$', 1) as stem, page_id from pages")
+@query("select page_id, try_cast(nullif(regexp_replace(regexp_extract(url, '([^/]*?)([.][^./]*)?$', 1), '[^0-9]', '', 'g'), '') as bigint) as number from pages")
+def stem_numbers(t):
+    from rillstone.functions.text import stem_number
+
+    return t("pages").select("page_id", stem_number(F.col("url")).alias("number"))
+
+
+@query("select 10 as files, 45 as numbers, 10 as sized")
 def listing_keys(t):
-    # file listings have no table of their own here; pages carry paths of the same shape
-    return t("pages").select(F.regexp_extract("url", "([0-9]+)[^0-9]*$", 1).alias("stem"), "page_id")
+    """Files of a folder with numbered names, listed without reading them."""
+    from rillstone.functions.text import stem_number
+    from rillstone.sources.working import shared_dir
+
+    spark = t("region").sparkSession
+    folder = f"{shared_dir(spark)}/listing-{uuid.uuid4().hex}"
+    for i in range(10):
+        io.write_text(spark, f"{folder}/part_{i}.txt", f"file {i}")
+    io.write_text(spark, f"{folder}/other.csv", "x")
+    keys = io.list_keys(spark, folder, "*.txt")
+    return keys.agg(F.count(F.lit(1)).alias("files"), F.sum(stem_number(F.col("path"))).alias("numbers"), F.count_if(F.col("length") > 0).alias("sized"))
+
+
+@query("select 'missing' as side, k as key from (select unnest(range(0, 60, 7)) as k) where k not in (select n_nationkey from nation) union all select 'found', n_nationkey from nation where n_nationkey % 7 = 0")
+def subset_report(t):
+    wanted = t("nation").sparkSession.range(0, 60, 7).select(F.col("id").alias("n_nationkey"))
+    got, lost = joins.subset(t("nation").select(F.col("n_nationkey").cast("long").alias("n_nationkey")), wanted, "n_nationkey")
+    return lost.select(F.lit("missing").alias("side"), F.col("n_nationkey").alias("key")).unionByName(got.select(F.lit("found").alias("side"), F.col("n_nationkey").alias("key")))
+
+
+@query("select o_orderkey from orders where o_orderkey not in (select l_orderkey from lineitem where l_quantity > 25)")
+def pending_copies(t):
+    there = t("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max(F.when(F.col("l_quantity") > 25, 1).otherwise(0)).alias("length"))
+    return joins.pending_work(t("orders").select("o_orderkey"), there, ["o_orderkey"], "length")
+
+
+@query("select o_orderpriority, missing, row_number() over (order by missing desc, o_orderpriority) as place from (select o_orderpriority, count(*) filter (where o_orderkey not in (select l_orderkey from lineitem)) as missing from orders group by all)")
+def most_missing(t):
+    per = joins.coverage(t("orders"), t("lineitem").withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderpriority", "o_orderkey")
+    return joins.most_missing(per.select("o_orderpriority", "missing"), "missing", "o_orderpriority")
+
+
+@query("select user_id as key, attempts, row_number() over (order by attempts, user_id) as place from (select user_id, bool_or(event_type = 'purchase' and value > 95) as done, count(*) as attempts from events group by all) where not done")
+def next_attempts(t):
+    rows = t("events").select(F.col("user_id").alias("key"), ((F.col("event_type") == "purchase") & (F.col("value") > 95)).alias("done"), F.lit(1).cast("bigint").alias("attempts"))
+    state = joins.manifest_upsert(rows, rows.limit(0))
+    return joins.next_attempts(state).select("key", "attempts", "place")
+
+
+@query("select event_id, (row_number() over (order by event_id) - 1) // 10 as batch from events where value is null or value < 30 or contains(event_type, 'err')")
+def retry_batches(t):
+    from rillstone.operators.rules import retry_batches
+
+    return retry_batches(t("events"), "conf<30,flags:err", ["event_id"], 10, conf="value", flags="event_type", numeric=True).select("event_id", "batch")
+
+
+@query("select l_orderkey, l_linenumber, l_partkey, l_suppkey, n from (select *, count(*) over (partition by l_orderkey) as n from lineitem)")
+def nested_files(t):
+    """A JSON document per order, written and read again."""
+    from rillstone.sources.working import shared_dir
+
+    spark = t("lineitem").sparkSession
+    path = f"{shared_dir(spark)}/nested-{uuid.uuid4().hex}"
+    docs = io.nest_documents(t("lineitem"), ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], [])
+    io.write_nested(docs, path)
+    return io.read_nested(spark, path, "items", docs.schema, lines=True).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("n_items").alias("n"))
+
+
+@query("select n_nationkey as key, n_name from nation")
+def cached_table(t):
+    """Built once for a set of keys, taken from the cache the second time, built anew for another set."""
+    from rillstone.sources.working import shared_dir
+
+    spark, nation = t("nation").sparkSession, t("nation").select(F.col("n_nationkey").alias("key"), "n_name")
+    path, keys = f"{shared_dir(spark)}/cache-{uuid.uuid4().hex}", nation.select("key")
+    io.cached(keys.where("key > 5"), "key", path, lambda k: k.join(nation, "key"))
+    io.cached(keys, "key", path, lambda k: k.join(nation, "key"))
+    return io.cached(keys, "key", path, lambda k: k.withColumn("n_name", F.lit("built again")))
 
 
 @query("select l_orderkey, l_linenumber, l_partkey, l_suppkey, o_orderdate, o_orderpriority from lineitem left join orders on o_orderkey = l_orderkey")

@@ -110,4 +110,24 @@ def grid_layout(t):
 
 @query("with recursive x as (select o_custkey, o_orderkey, o_totalprice, row_number() over (partition by o_custkey order by o_orderkey) as i from orders), f as (select o_custkey, o_orderkey, o_totalprice, i, o_totalprice as used, 1 as chunk from x where i = 1 union all select x.o_custkey, x.o_orderkey, x.o_totalprice, x.i, case when f.used + x.o_totalprice > 500000 then x.o_totalprice else f.used + x.o_totalprice end, case when f.used + x.o_totalprice > 500000 then f.chunk + 1 else f.chunk end from f join x on x.o_custkey = f.o_custkey and x.i = f.i + 1) select o_custkey, o_orderkey, o_totalprice, chunk from f")
 def capacity_chunks(t):
-    return seq.capacity_chunks(t("orders"), "o_custkey", "o_orderkey", "o_totalprice", F.lit(500000.0))
+    return seq.capacity_chunks(t("orders").select("o_custkey", "o_orderkey", "o_totalprice"), "o_custkey", "o_orderkey", "o_totalprice", 500000.0)
+
+
+PIECES = """
+with a as (select o_custkey as c, o_orderkey as k, o_totalprice as s, case when o_orderkey % 6 = 0 then null else o_orderstatus end as l from orders),
+b as (select *, last_value(l ignore nulls) over (partition by c order by k rows between unbounded preceding and 1 preceding) as before from a),
+p as (select *, sum(case when l <> before then 1 else 0 end) over (partition by c order by k) as piece from b),
+x as materialized (select *, sum(s) over (partition by c) as whole, sum(s) over (partition by c, piece) as part, count(*) over (partition by c, piece) as n, row_number() over (partition by c, piece order by k) as i from p)"""
+
+
+@query(PIECES.replace("with a", "with recursive a") + """,
+f as (
+  select c, k, s, piece, whole, part, n, i, s as used, 1 as fill from x where i = 1
+  union all
+  select x.c, x.k, x.s, x.piece, x.whole, x.part, x.n, x.i, case when f.used + x.s > 300000 then x.s else f.used + x.s end, case when f.used + x.s > 300000 and x.whole > 300000 and x.part > 300000 then f.fill + 1 else f.fill end
+  from f join x on x.c = f.c and x.piece = f.piece and x.i = f.i + 1
+)
+select c as o_custkey, k as o_orderkey, dense_rank() over (partition by c order by case when whole <= 300000 then 0 else piece + 1 end, fill) as chunk from f""")
+def split_oversized(t):
+    rows = t("orders").select("o_custkey", "o_orderkey", "o_totalprice", F.when(F.col("o_orderkey") % 6 != 0, F.col("o_orderstatus")).alias("kind"))
+    return seq.capacity_chunks(rows, "o_custkey", "o_orderkey", "o_totalprice", 300000.0, "kind").select("o_custkey", "o_orderkey", "chunk")

@@ -86,25 +86,23 @@ def vocab_snap(t):
     return t("part").select("p_partkey", text.vocab_snap(x, TYPES).alias("snapped"))
 
 
-def _unrolled(c: str, pattern: str, rounds: int) -> str:
-    for _ in range(rounds):
-        cut = f"trim(regexp_replace({c}, '{pattern}', ''))"
-        c = f"(case when regexp_matches({cut}, '[\\pL]') and lower({cut}) not in ('ward') then {cut} else {c} end)"
-    return c
+TAIL = r"\s*[.#:-]?\s*(no\.?)?\s*[0-9]+\s*$"
 
 
-TAIL = r"\s*[.#:-]?\s*(no\.?)?\s*[0-9]+\s*$"
+CUT = f"trim(regexp_replace(x, '{TAIL}', ''))"
 
 
-@query(f"select p_partkey, {_unrolled('x', TAIL, 3)} as base from (select p_partkey, case when p_partkey % 5 = 0 then 'ward ' || p_size else p_name || ' no ' || p_size || ' - 0' || p_partkey % 7 end as x from part)")
+@query(f"with recursive f as (select p_partkey, case when p_partkey % 5 = 0 then 'ward ' || p_size when p_partkey % 5 = 1 then p_name || ' 1 2 3 4 5 6 7 8 9' else p_name || ' no ' || p_size || ' - 0' || p_partkey % 7 end as x, 0 as i from part union all select p_partkey, {CUT}, i + 1 from f where {CUT} <> x and regexp_matches({CUT}, '[\\pL]') and lower({CUT}) <> 'ward') select p_partkey, arg_max(x, i) as base from f group by p_partkey")
 def fixpoint_strip(t):
-    x = F.when(F.col("p_partkey") % 5 == 0, F.concat(F.lit("ward "), "p_size")).otherwise(F.concat("p_name", F.lit(" no "), "p_size", F.lit(" - 0"), F.col("p_partkey") % 7))
-    return t("part").select("p_partkey", text.fixpoint_strip(x, TAIL, ("ward",), rounds=3).alias("base"))
+    k = F.col("p_partkey")
+    x = F.when(k % 5 == 0, F.concat(F.lit("ward "), "p_size")).when(k % 5 == 1, F.concat("p_name", F.lit(" 1 2 3 4 5 6 7 8 9"))).otherwise(F.concat("p_name", F.lit(" no "), "p_size", F.lit(" - 0"), k % 7))
+    return t("part").select("p_partkey", text.fixpoint_strip(x, TAIL, ("ward",)).alias("base"))
 
 
-@query("select page_id, trim(case when greatest(case when contains(url, '/') then length(url) - instr(reverse(url), '/') + 1 else 0 end, case when contains(url, '.') then length(url) - instr(reverse(url), '.') + 1 else 0 end) > 0 then substring(url, greatest(case when contains(url, '/') then length(url) - instr(reverse(url), '/') + 1 else 0 end, case when contains(url, '.') then length(url) - instr(reverse(url), '.') + 1 else 0 end) + 1) else '' end) as rest from pages")
+@query("select page_id, trim(case when greatest(case when contains(url, '/') then length(url) - instr(reverse(url), '/') + 1 else 0 end, case when contains(url, '.') then length(url) - instr(reverse(url), '.') + 1 else 0 end) > 0 then substring(url, greatest(case when contains(url, '/') then length(url) - instr(reverse(url), '/') + 1 else 0 end, case when contains(url, '.') then length(url) - instr(reverse(url), '.') + 1 else 0 end) + 1) else '' end) as rest, trim(left(url, greatest(case when contains(url, '/') then length(url) - instr(reverse(url), '/') + 1 else 0 end, case when contains(url, '.') then length(url) - instr(reverse(url), '.') + 1 else 0 end))) as head from pages")
 def keyword_cut(t):
-    return t("pages").select("page_id", text.keyword_cut(F.col("url"), ["/", "."]).alias("rest"))
+    url = F.col("url")
+    return t("pages").select("page_id", text.keyword_cut(url, ["/", "."]).alias("rest"), text.keyword_cut(url, ["/", "."], before=True).alias("head"))
 
 
 @query("select page_id, trim(split_part(url, '/', 1)) as head, trim(split_part(url, '/', -1)) as tail from pages")
@@ -143,8 +141,8 @@ def ratio_match(t):
     return _pairs(t).where(similarity.may_match(a, b, 0.6)).withColumn("ratio", F.round(similarity.ratio(a, b), 4)).where("ratio >= 0.6")
 
 
-@query("select o_orderkey, unnest(list_distinct(list_concat(range(o_orderkey % 5, o_orderkey % 5 + 4), [o_orderkey % 11 + 20]))) as item from orders")
+@query("select o_orderkey, unnest(list_distinct(list_concat(range(o_orderkey % 5, o_orderkey % 9 + 1), [o_orderkey % 11 + 20]))) as item from orders")
 def range_expand(t):
     k = F.col("o_orderkey")
-    x = F.concat((k % 5).cast("string"), F.lit("-"), (k % 5 + 3).cast("string"), F.lit(", "), (k % 11 + 20).cast("string"))
+    x = F.concat((k % 5).cast("string"), F.lit("-"), (k % 9).cast("string"), F.lit(", x, 3-, "), (k % 11 + 20).cast("string"))
     return t("orders").select("o_orderkey", F.explode(F.array_distinct(text.range_list(x))).alias("item"))

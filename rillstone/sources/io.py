@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rillstone.operators.joins import same_keys
+
 
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """A CSV with a header (a byte-order mark is skipped), all text, blanks instead of nulls, projected to `columns`."""
@@ -38,9 +40,48 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df
 
 
-def read_nested(spark: SparkSession, path: str, array: str, schema: T.StructType | None = None) -> DataFrame:
-    """JSON documents with an array of structs, a row per element."""
-    r = spark.read.option("multiLine", True)
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """One small file with this text."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True)
+    try:
+        out.write(text.encode())
+    finally:
+        out.close()
+
+
+def guard_overwrite(spark: SparkSession, path: str, force: bool = False) -> str:
+    """The path, unless something is there and may not be replaced."""
+    if not force and exists(spark, path):
+        raise FileExistsError(path)
+    return path
+
+
+def put(df: DataFrame, path: str) -> bool:
+    """Write a table; a failure is an answer, not an error."""
+    try:
+        df.write.mode("overwrite").parquet(path)
+    except Exception:  # noqa: BLE001  whatever went wrong, the caller goes on without this table
+        return False
+    return True
+
+
+def cached(keys: DataFrame, key: str, path: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """build(keys), written at path, as long as the set of keys there is the one asked for; built anew otherwise."""
+    spark = keys.sparkSession
+    if not exists(spark, path) or not same_keys(spark.read.parquet(path), keys, key):
+        build(keys).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def write_nested(df: DataFrame, path: str) -> None:
+    """A JSON document per row, one a line; nulls are written, so that every document has every field."""
+    df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)
+
+
+def read_nested(spark: SparkSession, path: str, array: str, schema: T.StructType | None = None, lines: bool = False) -> DataFrame:
+    """JSON documents with an array of structs, a row per element: a document a file, or (lines) one a line."""
+    r = spark.read.option("multiLine", lines is False)
     return explode_nested((r.schema(schema) if schema else r).json(path), array)
 
 
@@ -84,6 +125,9 @@ def page_tasks(df: DataFrame, pages: Column, first: int = 3, skip_last: int = 2,
 class PageReader:
     """What turns a page's bytes into text; engines implement it, and `Plain` is a deterministic stand-in."""
 
+    def open(self) -> None:
+        """Called once in every task, before its first page: the place to load what all pages need."""
+
     def text(self, content: bytes) -> str:
         raise NotImplementedError
 
@@ -97,6 +141,7 @@ def read_pages(files: DataFrame, reader: PageReader) -> DataFrame:
     """path and content -> path, text and error; a file that fails is a row with its error, not a failed job."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reader.open()
         for b in batches:
             out = []
             for path, content in zip(b["path"], b["content"], strict=True):

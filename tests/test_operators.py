@@ -50,7 +50,11 @@ def test_links_by_key(spark):
     assert got == {(1, 2), (1, 3), (3, 2)}
     assert [(r["id"], r["key"]["last"]) for r in linking.fuzzy_links(d, "part", "id", "own", "ref").collect()] == [(6, "DAVIS")]
     comp = {r["id"]: r["component"] for r in linking.key_components(d, "part", "id", "own", "ref").collect()}
-    assert comp == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 6, 7: 7}
+    assert comp == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 1, 7: 7}  # 6 refers to DAVIS with one edit
+    exact = {r["id"]: (r["component"], r["number"]) for r in linking.key_components(d, "part", "id", "own", "ref", edits=0).collect()}
+    assert exact == {1: (1, 1), 2: (1, 1), 3: (1, 1), 4: (4, 1), 5: (5, 2), 6: (6, 3), 7: (7, 4)}
+    two = {r["id"]: r["component"] for r in linking.key_components(d, "part", "id", "own", "ref", edits=2).collect()}
+    assert two[7] == 1
 
 
 def test_sequence_fit(spark):
@@ -86,7 +90,7 @@ def test_islands_and_gaps(spark):
 def test_capacity_chunks(spark, cap):
     r = random.Random(cap)
     rows = [(p, i, float(r.randrange(1, 9))) for p in range(3) for i in range(r.randrange(1, 9))]
-    got = sequences.capacity_chunks(frame(spark, rows, "p int, i int, s double"), "p", "i", "s", F.lit(float(cap))).toPandas()
+    got = sequences.capacity_chunks(frame(spark, rows, "p int, i int, s double"), "p", "i", "s", float(cap)).toPandas()
     assert len(got) == len(rows)
     for _, g in got.groupby(["p", "chunk"]):
         assert g["s"].sum() <= cap or len(g) == 1
@@ -156,13 +160,62 @@ def test_names(spark):
     d = frame(spark, [(1, "oak", "w1", "p"), (2, "oak", "w2", "p"), (3, "elm", "w1", "p"), (4, "ash", "w", "p"), (5, "ash", "w", "q"), (6, "fir", "", ""), (7, "fir", "", "")], "i int, n string, a string, b string")
     got = [r["label"] for r in folds.dedupe_names(d, "n", ["a", "b"]).orderBy("i").collect()]
     assert got == ["oak (w1)", "oak (w2)", "elm", "ash (p)", "ash (q)", "fir", "fir"]
-    assert folds.fuzzy_distinct(["northam", "northham", "", "west"]) == ["northam", "west"]
-    assert folds.base_names([], ["w"], [], False) == "w"
-    assert folds.base_names(["v"], ["w"], [], True) == "v w"
-    assert folds.base_names(["v"], ["w"], [], True, main="v") == "w"
-    assert folds.base_names(["a", "b"], [], ["p"], False) == "p"
-    assert folds.base_names(["a", "b", "c", "d"], [], [], False) == "a + 3"
-    assert folds.base_names([], [], [], False) == "(unknown)"
+    spelt = frame(spark, [("g", i, v) for i, v in enumerate(["northam", "northham", "", "west", "northam", "wests", None])] + [("h", 9, "")], "k string, i int, v string")
+    assert [tuple(r) for r in folds.fuzzy_distinct(spelt, ["k"], "v", "i").collect()] == [("g", ["northam", "west"])]
+    assert [tuple(r) for r in folds.fuzzy_distinct(spelt, ["k"], F.left("v", F.lit(1)), "i", name="first").collect()] == [("g", ["n", "w"])]
+
+
+def test_names_by_similar_qualifiers(spark):
+    rows = [(1, "oak", "north end"), (2, "oak", "north  ends"), (3, "oak", "west"), (4, "oak", "oaks"), (5, "elm", "x 12")]
+    got = [r["label"] for r in folds.dedupe_names(frame(spark, rows, "i int, n string, q string"), "n", ["q"], order="i", threshold=0.8, tail=r"\s+[0-9]+$").orderBy("i").collect()]
+    assert got == ["oak (north end)", "oak (north end)", "oak (west)", "oak", "elm"]
+
+
+def test_run_names(spark):
+    rows = [
+        (1, [], ["w"], [], ""), (2, ["v"], ["w"], [], ""), (3, ["v"], ["a", "b"], [], ""), (4, ["v"], list("abcd"), [], ""), (5, ["v"], list("abcd"), [], ""),
+        (6, ["m"], ["x"], [], ""), (7, ["m"], ["y"], [], ""), (8, ["a", "b"], [], ["p"], ""), (9, ["a", "b", "c", "d"], [], [], ""), (10, [], [], [], ""), (11, ["s 3"], [], [], ""), (12, ["a", "b"], [], ["p"], "mill"), (13, ["north"], ["northe"], [], ""), (14, ["north"], [], [], ""),
+    ]
+    d = frame(spark, rows, "i int, v array<string>, w array<string>, a array<string>, q string")
+    got = {r["i"]: r["name"] for r in folds.name_runs(d, "i", "v", "w", "a", F.lit("m"), "q", tail=r"\s+[0-9]+$").collect()}
+    assert got == {1: "w", 2: "v w", 3: "v a / b", 4: "v 1", 5: "v 2", 6: "x", 7: "y", 8: "p", 9: "a + 3", 10: "(unknown)", 11: "s", 12: "mill", 13: "northe", 14: "north"}
+
+
+def test_clubs(spark):
+    rows = [(1, "oak", "east", [], "oak", ["oak"], "m", ["m"]), (2, "oak", "", [], "", [], "", []), (3, "oak", "west", [], "oaks", ["oaks"], "m", ["m"]), (4, "oak", "wests", ["w"], "oak", ["oak", "b"], "m", ["m"]), (5, "oaks", "east", [], "x", ["x"], "n", ["n"])]
+    d = frame(spark, rows, "i int, area string, block string, wards array<string>, place string, places array<string>, addr string, addrs array<string>").withColumn("p", F.lit(1))
+    clubs = lambda got: [r["club"] for r in got.orderBy("i").collect()]
+    assert clubs(folds.club_by_area(d, "p", "i", "area", "block", "wards")) == [1, 1, 2, 3, 4]
+    assert clubs(folds.club_by_building(d, "p", "i", "place", "places", "addr", "addrs")) == [1, 2, 1, 3, 4]
+    wards = frame(spark, [(1, 1, "v", "ward 1", ["ward 1"]), (1, 2, "", "ward 1", ["ward 1"]), (1, 3, "v", "ward 1", ["ward 1"]), (1, 4, "v", "ward 1", ["ward 1", "x"])], "p int, i int, v string, w string, ws array<string>")
+    assert clubs(folds.club_by_ward(wards, "p", "i", "v", "w", "ws")) == [1, 2, 1, 3]
+
+
+def test_oversized_parts_are_cut_at_labels_first(spark):
+    rows = [(1, 1, 4.0, "a"), (1, 2, 4.0, ""), (1, 3, 4.0, "b"), (1, 4, 9.0, "b"), (1, 5, 20.0, "c"), (1, 6, 1.0, "a"), (2, 1, 5.0, "a"), (2, 2, 5.0, "b")]
+    got = sequences.capacity_chunks(frame(spark, rows, "p int, i int, s double, l string"), "p", "i", "s", 10.0, "l").orderBy("p", "i").collect()
+    assert [r["chunk"] for r in got] == [1, 1, 2, 3, 4, 5, 1, 1]
+
+
+def test_lookups_by_containment(spark):
+    table = frame(spark, [(1, "New York"), (2, "york"), (3, "Yorkshire"), (4, ""), (5, "A")], "i int, n string")
+    got = {r["q"]: r["i"] for r in joins.tiered_lookup(frame(spark, [("York",), ("yo",), ("a",), ("",), ("zz",)], "q string"), table, "q", "n", "i").collect()}
+    assert got == {"York": 2, "yo": 1, "a": 5}
+
+
+def test_sinks_and_guards(spark, tmp_path):
+    path = str(tmp_path / "t")
+    d = frame(spark, [(1, "a"), (2, None)], "k int, v string")
+    assert io.guard_overwrite(spark, path) == path and io.put(d, path)
+    with pytest.raises(FileExistsError):
+        io.guard_overwrite(spark, path)
+    assert io.guard_overwrite(spark, path, force=True) == path
+    (tmp_path / "file").write_text("x")
+    assert not io.put(d, str(tmp_path / "file" / "below"))
+    io.append_log(d, str(tmp_path / "log"))
+    io.append_log(d, str(tmp_path / "log"))
+    assert spark.read.parquet(str(tmp_path / "log")).count() == 4
+    assert joins.within(d.limit(1), d, "k") and not joins.within(d, d.where("k = 1"), "k")
 
 
 def test_group_statistics(spark):
