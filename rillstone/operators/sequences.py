@@ -148,16 +148,22 @@ def capacity_chunks(df: DataFrame, part: str, order: str, size: str, cap: float,
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema.fields)
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        fills, n, used = [], 0, None
-        for s in pdf[size].tolist():
-            if used is None or used + s > cap:
+        """Of a bucket of whole pieces, each filled in order."""
+        pdf = pdf.sort_values(["_key", order], kind="stable")
+        fills, n, used, of = [], 0, 0.0, None
+        for key, s in zip(pdf["_key"].tolist(), pdf[size].tolist(), strict=True):
+            if key != of:
+                n, used, of = 1, 0.0, key
+            elif used + s > cap:
                 n, used = n + 1, 0.0
             used += s
             fills.append(n)
-        return pdf.assign(_fill=fills)
+        return pdf.assign(_fill=fills).drop(columns=["_key", "_bucket"])
 
-    filled = d.where(large).groupBy(part, "_piece").applyInPandas(fill, f"{fields}, _fill int")
+    buckets = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    key = F.concat_ws("/", F.col(part).cast("string"), F.col("_piece").cast("string"))
+    pieces = d.where(large).withColumn("_key", key).withColumn("_bucket", F.pmod(F.xxhash64("_key"), F.lit(buckets)))
+    filled = pieces.groupBy("_bucket").applyInPandas(fill, f"{fields}, _fill int")
     both = filled.unionByName(d.where(~large).withColumn("_fill", F.lit(1)))
     heads = both.groupBy(part, "_piece", "_fill").agg(F.count(F.lit(1)).alias("_rows"))
     nth = heads.select(F.col(part).alias("_p"), F.col("_piece").alias("_q"), F.col("_fill").alias("_r"), F.row_number().over(Window.partitionBy(part).orderBy("_piece", "_fill")).alias(name))
