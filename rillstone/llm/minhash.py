@@ -5,7 +5,7 @@ and the same samples are folded into a parity bitmap: the population count of tw
 how many samples differ, so high similarities are estimated well from a few machine words. Texts with
 equal sets are one node. In a band's bucket each node is compared with the bucket's hub, the node that
 meets the most others over all bands, never with all others; pairs whose sketches allow the threshold
-are confirmed on full sets. Nodes that stay apart from their hub's component get a further hub, and those
+are confirmed on full sets; a few bands come first, and the rest where they left nodes apart. Nodes that stay apart from their hub's component get a further hub, and those
 apart after that meet the bucket's other components.
 """
 
@@ -27,8 +27,8 @@ ROWS, MISS = 6, 1.2e-5  # independent samples of a band key; how often a pair ri
 SAMPLES, BITS = 512, 1024  # bottom samples, a whole set if it has no more, folded into a sketch of BITS parities
 #: Standard errors that a sampled estimate may lie off before a pair is left unconfirmed.
 SIGMAS = 5.0
-#: Rounds of hubs at most, and pairs left apart per bucket entry beyond which a further round comes.
-MOST_HUBS, HUB_WORK = 6, 8
+#: Bands whose buckets meet first.
+FIRST_BANDS = 6
 
 
 def bands_for(percent: int) -> int:
@@ -127,13 +127,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5, hub_round
     nodes = keep(signed.where("n > 0 and doc_id is not null").groupBy(*one_set).agg(F.min("doc_id").alias("id"), F.first("keys").alias("keys"), F.first("odd").alias("odd")), "nodes")
 
     # buckets of two nodes or more, and how many nodes a node meets over all bands
-    entries = nodes.select("id", F.explode("keys").alias("key"))
+    entries = nodes.select("id", F.posexplode("keys").alias("band", "key"))
     shared = keep(entries.groupBy("key").agg(F.count(F.lit(1)).alias("met")).where("met > 1"), "shared")
     meetings = keep(entries.join(shared, "key"), "meetings")
     forget(shared)
     rank = meetings.groupBy("id").agg(F.sum("met").alias("rank"))
     facts = keep(rank.join(nodes.select("id", "n", "odd", "keys"), "id"), "facts")
-    entries = keep(meetings.join(facts.select("id", "rank"), "id").select("key", "id", "rank"), "entries")
+    entries = keep(meetings.join(facts.select("id", "rank"), "id").select("key", "band", "id", "rank"), "entries")
     forget(meetings)
     wanted = rows.join(facts.select(F.col("id").alias("doc_id")).hint("shuffle_hash"), "doc_id", "left_semi")
     grams = keep(wanted.mapInArrow(collect_sets, "id long, grams array<long>").dropDuplicates(["id"]), "grams")
@@ -162,20 +162,17 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5, hub_round
         forget(mixed)
         return out
 
-    # hubs first: each round is linear in the bucket
+    # hubs first: each round is linear in the bucket; the first bands alone unite most copies, so the others' buckets
+    # come only as far as several components are left in them
     tried = label = None
-    left = entries.withColumn("part", F.col("id")).withColumn("loose", F.lit(True))
+    left = entries.where(F.col("band") < FIRST_BANDS).withColumn("part", F.col("id")).withColumn("loose", F.lit(True))
 
     def united(found: DataFrame) -> DataFrame:
         """Components of all links so far: those known already stand for the links that made them."""
         known = [] if label is None else [label.where("id <> component_id").select(F.col("id").alias("a"), F.col("component_id").alias("b"))]
         return keep(components(reduce(DataFrame.unionByName, known, found)), "parts")
 
-    for turn in range(MOST_HUBS):
-        if turn >= hub_rounds:  # as long as what is left apart would meet many others
-            work = left.groupBy("key").agg(F.count_if("loose").alias("l"), F.count(F.lit(1)).alias("c")).agg(F.sum(F.col("l") * F.col("c")), F.sum("c")).first()
-            if (work[0] or 0) <= HUB_WORK * (work[1] or 0):
-                break
+    for turn in range(hub_rounds):
         hub = left.where("loose").groupBy("key").agg(F.max(F.struct("rank", (-F.col("id")).alias("m"), "part")).alias("h"))
         hub = keep(hub.select("key", (-F.col("h.m")).alias("hub"), F.col("h.part").alias("hub_part")), "hubs")
         pairs = left.join(hub, "key").where("id <> hub and part <> hub_part").select("hub", F.col("id").alias("other"))
@@ -183,7 +180,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5, hub_round
         tried = pairs if tried is None else tried.unionByName(pairs)
         tried = tried.unionByName(pairs.select(F.col("other").alias("hub"), F.col("hub").alias("other")))
         label = united(confirm(pairs))
-        left = still_apart(left, label)
+        left = still_apart(left if turn else entries, label)
     # then what hubs left apart, each loose node against the bucket's other components: few by now
     side = facts.select("id", "n", "odd", "keys")
     x = left.where("loose").join(side, "id").select("key", *(F.col(c).alias(f"{c}_x") for c in (*side.columns, "part", "loose")))
