@@ -42,6 +42,7 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     named = keep(found.join(rows.select("_row", "doc_id"), "_row"), "groups")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("_row"))).alias("first")
     stays = named.groupBy("component_id").agg(first, F.count(F.lit(1)).alias("n")).where("n > 1").select("component_id", F.col("first._row").alias("stays"))
+    stays = keep(stays, "stays")  # written, so that the rows of a large group can be split over tasks
     gone = named.join(stays, "component_id").where("_row <> stays").select("_row")
     return rows.join(gone, "_row", "left_anti").select(*COLUMNS)
 
