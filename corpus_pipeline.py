@@ -23,6 +23,11 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 NEAR_PERCENT = 80
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """The rows with a number each, written: read again after executors came or went, scans may be cut otherwise and number anew."""
+    return keep(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")), "numbered")
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter go; the others get the language they are written in, or keep theirs if none could be learned."""
     judged = identify(docs.select(*COLUMNS), carry=COLUMNS)
@@ -37,7 +42,7 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     Rows are judged each, whatever their ids: several texts of one id are several documents, rows without an id come last
     in their group, and of equal rows one stays. Texts without words belong to no group.
     """
-    rows = docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row"))
+    rows = numbered(docs)
     found = near_duplicates(rows.select("_row", "text"), percent=NEAR_PERCENT, size=5, id_col="_row").select(F.col("doc_id").alias("_row"), "component_id")
     named = keep(found.join(rows.select("_row", "doc_id"), "_row"), "groups")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("_row"))).alias("first")
@@ -58,7 +63,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as many times as the mix takes it; each row is a document, whatever its id."""
-    rows = docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row"))
+    rows = numbered(docs)
     taken = mix_documents(rows, carry=("_row",)).where("copies > 0").select("_row", F.col("copies").alias("_copies"))
     out = rows.join(keep(taken, "copies"), "_row")
     return out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*COLUMNS)
