@@ -55,17 +55,19 @@ def _star_forest(e: DataFrame) -> bool:
     return ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)").isEmpty()
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, max_rounds: int = 60, hint: str | None = None) -> DataFrame:
     """Connected components of edges (a, b): rows (id, component_id), component_id the smallest reachable id.
 
     Each task first contracts lots of its own edges to stars. Alternating large-star and small-star rounds then
     join what tasks know: a round's edges are a written table, and it only aggregates by partial sums of minima,
     so no node's neighbours are gathered anywhere. Rounds end when all edges are stars.
+    `hint` names the strategy of the rounds' joins ("merge": minima are never broadcast), else the optimizer chooses.
     Nodes without edges do not appear. Null ends are dropped; an empty input gives an empty table.
     """
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u is not null and v is not null and u <> v")
     whole = all(f.dataType.simpleString() == "bigint" for f in e.schema.fields)  # other ids have no contraction, only rounds
     shorter = lambda d: d.mapInArrow(_contracted, "u long, v long") if whole else d.distinct()
+    met = lambda d: d.hint(hint) if hint else d
     e = keep(shorter(e), "edges")
     for _ in range(max_rounds):
         if _star_forest(e):
@@ -75,10 +77,10 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         # minima are written tables: a join with one can split a hub's rows over tasks, which it couldn't
         # if the aggregate's own partitioning decided where they meet
         least = keep(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
-        large = keep(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "large")
+        large = keep(both.where("v > u").join(met(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "large")
         # small star: each node's smaller neighbours, and the node, go to the smallest of them
         low = keep(large.groupBy("u").agg(F.min("v").alias("m")), "low")
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v")
+        small = large.join(met(low), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v")
         new = keep(shorter(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()), "edges")
         for done in (e, least, large, low):
             forget(done)

@@ -57,6 +57,29 @@ def test_links_by_key(spark):
     assert two[7] == 1
 
 
+@pytest.mark.parametrize("name", ["grand_summary"])
+def test_group_queries_broadcast_nothing_that_grows(spark, monkeypatch, name):
+    from rillstone.operators import components as rounds
+    from rillstone.plans.catalogue import QUERIES
+
+    plans = []
+
+    def seen(df, table, kept=linking.keep):
+        plans.append(df)
+        return kept(df, table)
+
+    monkeypatch.setattr(linking, "keep", seen)
+    monkeypatch.setattr(rounds, "keep", seen)
+    plans.append(QUERIES[name](spark, "/root/testdata/sf0.001"))
+    lines = [x for d in plans for x in d._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join " in x]
+    assert len(lines) >= 6 and all("strategy=merge" in x for x in lines)
+
+
+def test_rows_of_one_id_count_once_in_groups(spark):
+    d = frame(spark, [(1, "p", ("A", "B"), ("C", "D")), (2, "p", ("C", "D"), None), (2, "p", ("E", "F"), None)], "id long, part string, own struct<first:string,last:string>, ref struct<first:string,last:string>")
+    assert sorted((r["id"], r["component"]) for r in linking.key_groups(d, "part", "id", "own", "ref").collect()) == [(1, 1), (2, 1), (2, 1)]
+
+
 def test_sequence_fit(spark):
     rows = [(1, 0, 5), (1, 1, None), (1, 2, 9), (1, 3, 8), (1, 4, 9), (2, 0, 1), (2, 1, None), (3, 0, 4), (3, 1, 9), (3, 2, 6), (3, 3, 11)]
     got = [(r["fitted"], r["flag"]) for r in sequences.sequence_fit(frame(spark, rows, "p int, i int, n int"), "p", "i", "n").orderBy("p", "i").collect()]
