@@ -57,7 +57,7 @@ def test_links_by_key(spark):
     assert two[7] == 1
 
 
-@pytest.mark.parametrize("name", ["grand_summary", "group_stats"])
+@pytest.mark.parametrize("name", ["grand_summary", "group_stats", "partition_summary"])
 def test_group_queries_broadcast_nothing_that_grows(spark, monkeypatch, name):
     from rillstone.operators import components as rounds
     from rillstone.plans.catalogue import QUERIES
