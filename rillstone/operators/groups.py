@@ -121,7 +121,19 @@ def run_summary(df: DataFrame, keys: Sequence[str], run: str, at: str, value: st
     return numbered.withColumn("range", spread).withColumn("label", F.concat(F.lit("L"), F.lpad(F.col("_nth").cast("string"), 3, "0"))).drop(run, "_nth")
 
 
+def exact_mean(value: Column) -> Column:
+    """Mean of doubles that doesn't depend on their order, so that a mean halfway between two roundings stays there.
+
+    Decimals of ten places at most are summed as such; if a group holds a double that is none, all of it is summed in doubles.
+    """
+    d = value.cast("double")
+    exact = d.try_cast("decimal(28,10)")
+    total = F.try_sum(F.when(exact.cast("double") == d, exact))
+    whole = F.count(d) == F.count_if(exact.cast("double") == d)
+    return F.coalesce(F.when(whole, total.cast("double") / F.count(d)), F.avg(d))
+
+
 def mean_confidence(df: DataFrame, keys: Sequence[str], conf: str) -> DataFrame:
     """Mean of the confidences that were given (0 and more), with how many there were."""
     given = F.when(F.col(conf) >= 0, F.col(conf))
-    return df.groupBy(*keys).agg(F.round(F.avg(given), 1).alias("mean_conf"), F.count(given).alias("given"))
+    return df.groupBy(*keys).agg(F.round(exact_mean(given), 1).alias("mean_conf"), F.count(given).alias("given"))

@@ -249,6 +249,17 @@ def test_group_statistics(spark):
     assert (rows["h"]["mean"], rows["h"]["deviation"]) == (None, 0.0)
 
 
+def test_mean_of_confidences_has_no_order(spark):
+    a = [0.1, 0.2, 0.3, 0.6, 0.7, 0.8, 0.05, 0.05]  # 2.8 of 8 are 0.35
+    for values in (a * 60, sorted(a * 60), sorted(a * 60, reverse=True)):
+        d = frame(spark, [("k", v) for v in [*values, None, -1.0]], "k string, v double").coalesce(1)
+        assert [tuple(r) for r in groups.mean_confidence(d, ["k"], "v").collect()] == [("k", 0.4, 480)]
+    odd = frame(spark, [("x", 1e300), ("x", 1e300), ("y", 1 / 3), ("y", 2.0), ("z", None), ("n", float("nan")), ("i", float("inf"))], "k string, v double")
+    got = {r["k"]: (r["mean_conf"], r["given"]) for r in groups.mean_confidence(odd, ["k"], "v").collect()}
+    assert (got["x"], got["y"], got["z"]) == ((1e300, 2), (1.2, 2), (None, 0))
+    assert str(got["n"][0]) == "nan" and got["i"] == (float("inf"), 1)
+
+
 def test_joins(spark):
     a, b = frame(spark, [(i,) for i in range(0, 40, 3)], "x int"), frame(spark, [(i,) for i in range(0, 40, 4)], "y int")
     got = {tuple(r) for r in joins.band_join(a, b, "x", "y", 5).collect()}
