@@ -75,6 +75,25 @@ def test_group_queries_broadcast_nothing_that_grows(spark, monkeypatch, name):
     assert len(lines) >= 6 and all("strategy=merge" in x for x in lines)
 
 
+@pytest.mark.parametrize("name", ["group_stats"])
+def test_group_queries_run_without_broadcasts(spark, name):
+    from rillstone.plans.catalogue import QUERIES
+
+    bus, store = spark.sparkContext._jsc.sc().listenerBus(), spark._jsparkSession.sharedState().statusStore()
+    bus.waitUntilEmpty(30_000)
+    old, runs = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), store.executionsList()
+    begun = max([runs.apply(i).executionId() for i in range(runs.size())], default=-1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        QUERIES[name](spark, "/root/testdata/sf0.001").collect()
+        bus.waitUntilEmpty(30_000)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    runs = store.executionsList()
+    ran = [r.physicalPlanDescription() for r in map(runs.apply, range(runs.size())) if r.executionId() > begun]  # with what was planned anew as it ran
+    assert any("SortMergeJoin" in x for x in ran) and not any("Broadcast" in x for x in ran)
+
+
 def test_rows_of_one_id_count_once_in_groups(spark):
     d = frame(spark, [(1, "p", ("A", "B"), ("C", "D")), (2, "p", ("C", "D"), None), (2, "p", ("E", "F"), None)], "id long, part string, own struct<first:string,last:string>, ref struct<first:string,last:string>")
     assert sorted((r["id"], r["component"]) for r in linking.key_groups(d, "part", "id", "own", "ref").collect()) == [(1, 1), (2, 1), (2, 1)]
