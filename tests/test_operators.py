@@ -75,7 +75,7 @@ def test_group_queries_broadcast_nothing_that_grows(spark, monkeypatch, name):
     assert len(lines) >= 6 and all("strategy=merge" in x for x in lines)
 
 
-@pytest.mark.parametrize("name", ["group_stats"])
+@pytest.mark.parametrize("name", ["group_stats", "partition_summary"])
 def test_group_queries_run_without_broadcasts(spark, name):
     from rillstone.plans.catalogue import QUERIES
 
