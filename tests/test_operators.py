@@ -94,6 +94,29 @@ def test_group_queries_run_without_broadcasts(spark, name):
     assert any("SortMergeJoin" in x for x in ran) and not any("Broadcast" in x for x in ran)
 
 
+@pytest.mark.parametrize("lot", [500_000, 20])
+def test_groups_of_one_lot_need_no_rounds(spark, monkeypatch, lot):
+    from rillstone.operators import components as rounds
+
+    tables = []
+
+    def seen(df, table, kept=rounds.keep):
+        tables.append(table)
+        return kept(df, table)
+
+    monkeypatch.setattr(rounds, "keep", seen)
+    monkeypatch.setattr(rounds, "LOT", lot)
+    chain = [(i, "p", ("K", str(i)), ("K", str(i + 1) if i % 50 else "none")) for i in range(1, 201)]  # links in order, in four parts
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        d = frame(spark, chain, "id long, part string, own struct<first:string,last:string>, ref struct<first:string,last:string>")
+        got = {r["id"]: r["component"] for r in linking.key_groups(d, "part", "id", "own", "ref", edits=0).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == {i: (i - 1) // 50 * 50 + 1 for i in range(1, 201)}
+    assert ("least" in tables) == (lot < len(chain))  # rounds come only where the edges are more than one lot
+
+
 @pytest.mark.parametrize("name", ["group_stats", "partition_summary"])
 def test_near_keys_are_near_by_bytes(spark, tmp_path, name):
     import duckdb
